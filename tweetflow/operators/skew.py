@@ -1,0 +1,56 @@
+"""Keys that hold a large share of all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key is heavy when it holds more than one row in HEAVY_PART, and HEAVY_ROWS rows at least.
+HEAVY_PART = 1_000
+HEAVY_ROWS = 1_000_000
+# Bounds what heavy_keys returns. The sketch overstates a count by at most 3.5 / SKETCH_ITEMS of all
+# rows, so fewer than 1 / (1 / HEAVY_PART - 3.5 / SKETCH_ITEMS) = 1539 keys can pass the threshold.
+MAX_HEAVY = 2_000
+SKETCH_ITEMS = 10_000
+_GROUPS = 64
+
+
+def heavy_keys(rows: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> list:
+    """The heavy keys of a column, fewer than MAX_HEAVY, the largest first.
+
+    Runs one job that reads only the key. Tasks keep a frequent-items sketch of bounded size and only
+    the sketches are shuffled, merged in two steps. The result steers how work is spread; a query must
+    give the same rows for any list.
+    """
+    if rows.isStreaming:
+        raise ValueError("heavy keys are looked for in batch input only")
+    keyed = rows.select(F.col(key).alias("k"), (F.spark_partition_id() % _GROUPS).alias("g")).where("k IS NOT NULL")
+    sketches = keyed.groupBy("g").agg(
+        F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n"))
+    found = merged.where("n > 0").select("n", F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top")).first()
+    if found is None:
+        return []
+    least = max(min_rows, found["n"] / HEAVY_PART)
+    return [item["item"] for item in found["top"] if item["count"] > least]
+
+
+def is_heavy(key: str, heavy: list) -> Column:
+    return F.col(key).isin(heavy)
+
+
+def join_latest(left: DataFrame, right: DataFrame, key: str, heavy: list) -> DataFrame:
+    """Left join with a right side that has one row per key, by the name of the shared key column.
+
+    Rows of heavy keys stay where they are: the right rows of fewer than MAX_HEAVY keys are
+    broadcast. The others are joined on the key, and none of their keys dominates a task. Left rows
+    without a key are dropped.
+    """
+    if not heavy:
+        return left.where(F.col(key).isNotNull()).join(right, key, "left")
+    if len(heavy) > MAX_HEAVY:
+        raise ValueError(f"{len(heavy)} heavy keys, at most {MAX_HEAVY} are broadcast")
+    cold = left.where(~is_heavy(key, heavy)).join(right.where(~is_heavy(key, heavy)), key, "left")
+    hot = left.where(is_heavy(key, heavy)).join(F.broadcast(right.where(is_heavy(key, heavy))), key, "left")
+    return cold.unionByName(hot)

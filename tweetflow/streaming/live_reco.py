@@ -1,0 +1,61 @@
+"""Wins joined with the latest bid seen so far, live."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tweetflow.operators.reconcile import tagged_events
+from tweetflow.schemas import BID_ORDER
+from tweetflow.session import STATE_STORE, settings
+from tweetflow.sinks import append_stream
+
+WIN_LANES = 4
+
+
+def _answer(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Answers one auction's wins of a micro-batch, bids before wins at an instant; keeps the last bid."""
+    rows = pd.concat(list(chunks), ignore_index=True)
+    rows = rows.sort_values(["timestamp", "side", *BID_ORDER[1:]], kind="stable", na_position="first", ignore_index=True)
+    is_bid = (rows["side"] == 0).to_numpy()
+    probability = rows["cP"].to_numpy(dtype="float64", na_value=np.nan)
+    last_bid = np.maximum.accumulate(np.where(is_bid, np.arange(len(rows)), -1))
+    carried = state.get[0] if state.exists else None
+    before = np.nan if carried is None else carried
+    answer = np.where(last_bid >= 0, probability[last_bid], before)
+    if last_bid[-1] >= 0:
+        final = probability[last_bid[-1]]
+        state.update((None if np.isnan(final) else float(final),))
+    wins = ~is_bid
+    if wins.any():
+        yield pd.DataFrame({"auctid": key[0], "winPrice": rows["winPrice"][wins], "cP": answer[wins]})
+
+
+def live_reco(wins: DataFrame, bids: DataFrame, lanes: int = WIN_LANES) -> DataFrame:
+    """Every win with the bid that is current when the win is processed; a later bid changes nothing.
+
+    State is the last bid per auction. An auction's wins are dealt to ``lanes`` groups and its bids go
+    to all of them, so a busy auction's wins are not answered by one task. Rows of a group are held
+    together for one micro-batch only; cap the micro-batch at the source. The number of lanes must
+    stay the same for the life of a checkpoint.
+    """
+    events = tagged_events(wins, bids)
+    of_win = F.array(F.pmod(F.xxhash64("timestamp", "winPrice"), F.lit(lanes)))
+    every = F.array(*[F.lit(i).cast("bigint") for i in range(lanes)])
+    dealt = events.withColumn("lane", F.explode(F.when(F.col("side") == 1, of_win).otherwise(every)))
+    return dealt.groupBy("id", "lane").applyInPandasWithState(
+        _answer, "auctid string, winPrice double, cP double", "cP double", "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def start_live_reco(
+    wins: DataFrame, bids: DataFrame, path: str, checkpoint: str, trigger: dict, lanes: int = WIN_LANES
+) -> StreamingQuery:
+    with settings(wins.sparkSession, STATE_STORE):
+        return append_stream(live_reco(wins, bids, lanes), path, checkpoint, trigger)
