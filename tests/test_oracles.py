@@ -1,0 +1,47 @@
+"""Every registered query against its DuckDB statement on the smallest tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from check import TABLES, rows_of
+
+from conftest import SF_DIR
+
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for name in TABLES.split():
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return connection
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query(spark, db, name):
+    got = rows_of(QUERIES[name](spark, SF_DIR).toArrow())
+    expected = rows_of(db.sql(ORACLES[name]).to_arrow_table())
+    assert got[0] == expected[0]
+    assert got[1] == expected[1]
+    assert got[2] == expected[2]
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 15
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, db):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("mario_fr", "changelog_by_interval", "bid_raw", "ksql_tweets_transformed"):
+            got = rows_of(QUERIES[name](spark, SF_DIR).toArrow())
+            assert got == rows_of(db.sql(ORACLES[name]).to_arrow_table())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

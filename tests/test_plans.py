@@ -1,0 +1,70 @@
+"""The physical plans of the registered queries."""
+
+import re
+
+import pytest
+from conftest import SF_DIR
+
+from tweetflow.plans import queries as q
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange hashpartitioning", text))
+
+
+@pytest.mark.parametrize(
+    "query, parses",
+    [
+        (q.tweet_transformed, 1), (q.reconciliation_union, 1), (q.mario_fr, 1), (q.changelog_by_interval, 1),
+        (q.reconciliation, 2), (q.bid_raw, 1), (q.userid_count, 1), (q.ksql_mario_fr, 1),
+    ],
+)
+def test_each_record_is_parsed_once_per_branch(spark, query, parses):
+    assert len(re.findall(r"from_json\([^\n]*?, value#\d+, Some", plan(query(spark, SF_DIR)))) == parses
+
+
+# Two hash exchanges belong to the join of events with documents that makes the tweets.
+@pytest.mark.parametrize("query, after", [(q.tweet_transformed, 0), (q.reconciliation_union, 1), (q.userid_count, 1), (q.changelog_by_interval, 2)])
+def test_shuffles_of_tweet_queries(spark, query, after):
+    assert exchanges(plan(query(spark, SF_DIR))) == 2 + after
+
+
+def test_shuffles_of_bid_queries(spark):
+    assert exchanges(plan(q.reco_asof(spark, SF_DIR))) == 1
+    assert exchanges(plan(q.tbid_latest_by_key(spark, SF_DIR))) == 1
+    assert exchanges(plan(q.bid_proper_key(spark, SF_DIR))) == 0
+
+
+def test_totals_are_summed_before_the_shuffle(spark):
+    text = plan(q.reconciliation_union(spark, SF_DIR))
+    assert "partial_sum(count" in text and "partial_min(first" in text
+
+
+def test_top_k_limits_groups_before_the_shuffle(spark):
+    text = plan(q.userid_name_top3(spark, SF_DIR))
+    assert re.search(r"WindowGroupLimit.*Partial", text) and re.search(r"WindowGroupLimit.*Final", text)
+
+
+def test_scans_read_only_what_is_used(spark):
+    text = plan(q.win_raw(spark, SF_DIR))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in text
+    assert "l_tax" not in plan(q.bid_raw(spark, SF_DIR))
+
+
+def test_waves_are_cut_at_the_scan(spark):
+    from tweetflow.sources import tables
+
+    text = plan(tables.tweet_records(spark, SF_DIR, q._between("event_id", 100, 200)))
+    assert "GreaterThanOrEqual(event_id,100)" in text and "LessThan(event_id,200)" in text
+
+
+def test_no_cartesian_joins_and_no_python(spark):
+    batch = [query for query in q.ALL if not query.__name__.startswith(("stream_", "upsert_"))]
+    for query in batch:
+        text = plan(query(spark, SF_DIR))
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
+            assert word not in text, (query.__name__, word)

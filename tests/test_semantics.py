@@ -1,0 +1,256 @@
+"""Hand-written records for the behaviours that are easy to get wrong."""
+
+import json
+
+import pytest
+from conftest import rows, tweet
+from pyspark.sql import functions as F
+
+from tweetflow import functions
+from tweetflow.operators import changelog, reconcile, totals, tweets
+from tweetflow.sources import records as source
+
+TOTALS = ["userID", "count", "fav", "hashtags", "name", "mentioned"]
+
+
+def both_forms(raw):
+    """The reconciliation as a join and as one aggregate; they must agree."""
+    parsed = source.parse_tweets(raw)
+    joined = totals.reconciliation(
+        totals.user_table(tweets.tweet_transformed(parsed, ordered=True)),
+        totals.mentions_table(tweets.user_mentions(parsed)),
+    )
+    summed = totals.totals_from_deltas(totals.user_deltas(parsed))
+    assert rows(joined) == rows(summed)
+    return rows(summed, *TOTALS)
+
+
+def mario(raw):
+    return tweets.keyword_feed(source.parse_tweets(raw, tweets.MARIO_FIELDS))
+
+
+def sql_feed(raw):
+    return tweets.sql_tweets_transformed(source.parse_sql_tweets(raw))
+
+
+def test_first_name_wins_in_any_input_order(records):
+    first, renamed = tweet(1, name="A"), tweet(2, name="B")
+    assert both_forms(records(first, renamed)) == [("1", 2, 0, 0, "A", 0)]
+    assert both_forms(records(renamed, first)) == [("1", 2, 0, 0, "A", 0)]
+
+
+def test_a_null_first_name_stays(records):
+    nameless = tweet(1)
+    nameless["user"]["name"] = None
+    assert both_forms(records(nameless, tweet(2, name="B"))) == [("1", 2, 0, 0, None, 0)]
+
+
+def test_mentions_before_the_first_tweet_count(records):
+    assert both_forms(records(tweet(1, user="2", mentions=["1"]), tweet(2, user="1"))) == [
+        ("1", 1, 0, 0, "A", 1),
+        ("2", 1, 0, 0, "A", 0),
+    ]
+
+
+def test_a_user_who_is_only_mentioned_has_no_totals(records):
+    raw = records(tweet(1, mentions=["9", "9"]))
+    assert both_forms(raw) == [("1", 1, 0, 0, "A", 0)]
+    mentioned = totals.mentions_table(tweets.user_mentions(source.parse_tweets(raw)))
+    assert rows(mentioned) == [("9", 2)]
+
+
+def test_two_mentions_of_one_user_in_a_tweet_count_twice(records):
+    assert both_forms(records(tweet(1, user="5", mentions=["5", "5"]))) == [("5", 1, 0, 0, "A", 2)]
+
+
+def test_repeated_tweets_are_counted_again(records):
+    assert both_forms(records(tweet(1, fav=3, tags="x"), tweet(1, fav=3, tags="x"))) == [("1", 2, 6, 2, "A", 0)]
+
+
+def test_totals_beyond_32_bits(records):
+    raw = records(tweet(1, fav=2_000_000_000), tweet(2, fav=2_000_000_000))
+    assert both_forms(raw)[0][2] == 4_000_000_000
+    typed = tweets.user_records(totals.totals_from_deltas(totals.user_deltas(source.parse_tweets(raw))))
+    assert dict(typed.dtypes) == {
+        "userID": "string", "count": "int", "fav": "int", "hashtags": "int", "name": "string", "mentioned": "int",
+    }
+    assert typed.first()["fav"] == 2**31 - 1
+
+
+def test_clamp_holds_at_both_ends(spark):
+    frame = spark.sql("SELECT * FROM VALUES (-9000000000L), (9000000000L), (5L), (NULL) AS t(x)")
+    got = frame.select(functions.to_int_clamped(F.col("x"))).collect()
+    assert [r[0] for r in got] == [-(2**31), 2**31 - 1, 5, None]
+
+
+GOOD = [{"id_str": "10", "media_url": "url0"}, {"id_str": "11", "media_url": "url1"}]
+
+
+@pytest.mark.parametrize(
+    "media, expected",
+    [
+        (GOOD, "(10,url0),(11,url1)"),
+        ([], ""),
+        (None, ""),
+        ([GOOD[0], {"id_str": "11"}], ""),
+        ([{"media_url": "url0"}, GOOD[1]], ""),
+    ],
+)
+def test_media_text(records, media, expected):
+    more = {"media": media} if media is not None else {}
+    assert mario(records(tweet(1, text="mario", **more))).first()["medias"] == expected
+
+
+def test_the_two_keyword_filters(records):
+    raw = records(
+        tweet(1, lang="FR", text="a Mario b"), tweet(2, lang="fr", text="a mario b"), tweet(3, lang="en", text="mario"),
+        tweet(4, text="luigi"), tweet(5, lang=None, text="mario"), tweet(6, text=None),
+    )
+    assert rows(mario(raw), "id") == [("1",), ("2",)]
+    assert rows(tweets.sql_keyword_feed(sql_feed(raw)), "id") == [(2,)]
+
+
+def test_keyword_and_language_are_parameters(records):
+    parsed = source.parse_tweets(records(tweet(1, lang="EN", text="Zelda!")), tweets.MARIO_FIELDS)
+    assert tweets.keyword_feed(parsed, lang="en", word="zelda").count() == 1
+
+
+def test_screen_name_holds_different_names_in_the_two_feeds(records):
+    raw = records(tweet(1, user="7", name="Display", text="mario"))
+    assert mario(raw).first()["screen_name"] == "Display"
+    assert tweets.sql_keyword_feed(sql_feed(raw)).first()["screen_name"] == "s7"
+
+
+def test_dates_are_utc_days(records):
+    raw = records(tweet(1, text="mario", timestamp_ms="1709942399999"), tweet(2, text="mario", timestamp_ms="-1"))
+    assert rows(mario(raw), "id", "created_at") == [("1", "2024-03-08"), ("2", "1969-12-31")]
+
+
+def test_times_that_a_clock_change_skips(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        frame = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.123456' AS ts")
+        assert frame.select(functions.epoch_ms("ts")).first()[0] == 1710037800123
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_bad_records_are_set_aside(records):
+    no_user, undated = tweet(2, user="3"), tweet(3, user="3", timestamp_ms="soon", text="mario")
+    del no_user["user"]
+    null_user = tweet(4)
+    null_user["user"]["id_str"] = None
+    raw = records("{not json", no_user, undated, null_user, tweet(5, user="4", text="mario"))
+    assert [r[0] for r in both_forms(raw)] == ["3", "4"]
+    assert rows(mario(raw), "id") == [("5",)]
+    assert rows(source.rejected_tweets(raw), "reason") == [("incomplete",), ("incomplete",), ("malformed",)]
+    assert rows(source.rejected_tweets(raw, dated=True), "reason")[-1] == ("undated",)
+    kept = [r[0] for r in rows(source.rejected_tweets(raw), "value")]
+    assert "{not json" in kept
+
+
+def test_strict_mode_fails(records):
+    no_user = tweet(2)
+    del no_user["user"]
+    for bad in ("{not json", no_user):
+        with pytest.raises(Exception):
+            source.parse_tweets(records(bad), mode="FAILFAST").collect()
+
+
+def test_key_passes_through_the_feed(records):
+    raw = records(tweet(1, text="mario"), key="k")
+    out = tweets.keyed_json(mario(raw), None, ["id", "text"]).first()
+    assert (out["key"], json.loads(out["value"])) == ("k", {"id": "1", "text": "mario"})
+
+
+def test_json_text_survives_quotes_newlines_and_emoji(records):
+    text = 'say "mario"\n\\ \U0001f60a   \x01'
+    out = tweets.keyed_json(mario(records(tweet(1, text=text))), None, ["text"]).first()
+    assert json.loads(out["value"]) == {"text": text}
+
+
+def test_keyed_json_shows_null_fields(spark):
+    frame = spark.sql("SELECT '1' AS userID, CAST(NULL AS string) AS name")
+    assert json.loads(tweets.keyed_json(frame, "userID", ["userID", "name"]).first()["value"]) == {"userID": "1", "name": None}
+
+
+def test_sql_feed_columns(records):
+    raw = records(tweet(1, user="12", name="N", tags=["a"], mentions=["5"]), {"id": 2, "text": "bare"})
+    got = {r["id"]: r for r in sql_feed(raw).collect()}
+    assert got[1]["user_id"] == "12" and got[1]["user_screen_name"] == "s12"
+    assert got[1]["hashtags"] == '[{"text":"a"}]' and got[1]["user_mentions"] == '[{"id_str":"5"}]'
+    assert got[2]["user_id"] is None and got[2]["created_at"] is None
+
+
+def test_null_keys_make_no_group(spark):
+    frame = spark.sql("SELECT * FROM VALUES (NULL, 1, 'x'), ('1', 2, 'y') AS t(user_id, fav, n)")
+    assert rows(totals.count_by(frame, "user_id", "count")) == [("1", 1)]
+    assert rows(totals.sum_by(frame, "user_id", "fav", "fav")) == [("1", 2)]
+    assert rows(totals.top_k(frame, "user_id", "n", 1, "name")) == [("1", ["y"])]
+    assert rows(totals.latest_by_key(frame, ["user_id"], ["fav"])) == [("1", 2, "y")]
+
+
+def test_top_k_keeps_equal_values_and_skips_nulls(spark):
+    frame = spark.sql("SELECT * FROM VALUES ('1','b'), ('1','b'), ('1','a'), ('1',NULL), ('2',NULL) AS t(u, n)")
+    assert rows(totals.top_k(frame, "u", "n", 3, "name")) == [("1", ["b", "b", "a"]), ("2", [])]
+    assert rows(totals.top_k(frame, "u", "n", 2, "name")) == [("1", ["b", "b"]), ("2", [])]
+    assert rows(totals.top_k(frame, "u", "n", 1, "name")) == [("1", ["b"]), ("2", [])]
+
+
+def test_latest_row_per_key_may_hold_null(spark):
+    frame = spark.sql("SELECT * FROM VALUES ('a', 1, 0.5D), ('a', 2, CAST(NULL AS DOUBLE)), ('b', 1, 0.1D) AS t(id, ord, cP)")
+    assert rows(totals.latest_by_key(frame, ["id"], ["ord"]), "id", "cP") == [("a", None), ("b", 0.1)]
+
+
+def test_changelog_holds_running_totals_and_ends_in_the_table(records):
+    raw = records(
+        tweet(1, user="1", mentions=["2"], timestamp_ms="0"), tweet(2, user="2", fav=5, timestamp_ms="86400000"),
+        tweet(3, user="2", name="B", fav=1, timestamp_ms="172800000"), tweet(4, user="1", mentions=["2"], timestamp_ms="172800000"),
+    )
+    parsed = source.parse_tweets(raw, ["timestamp_ms"])
+    day = functions.epoch_ms_to_date(functions.millis(F.col("timestamp_ms")))
+    log = changelog.changelog_by_interval(parsed, day)
+    assert rows(log.where("userID = '2'")) == [
+        ("1970-01-02", "2", 1, 5, 0, "A", 1),
+        ("1970-01-03", "2", 2, 6, 0, "A", 2),
+    ]
+    assert rows(changelog.changelog_to_table(log)) == both_forms(raw)
+
+
+def bid(id, ts, cp, seq=0):
+    return {"timestamp": ts, "id": id, "advertiserId": "x", "clickProbability": cp, "seq_a": seq, "seq_b": 0, "seq_c": 0}
+
+
+def win(id, ts, price=1.0):
+    return {"timestamp": ts, "auctid": id, "advertiserId": "x", "winPrice": price}
+
+
+def test_wins_against_the_last_bid_and_the_bid_of_their_time(records):
+    bids = source.parse_bids(
+        records(
+            bid("late", 20, 0.1), bid("same", 10, 0.2), bid("same", 10, 0.3, seq=1), bid("null", 5, 0.4), bid("null", 8, None),
+            bid("neg", 1, -0.01), bid("zero", 1, 0.0), bid(None, 1, 0.9),
+        ),
+        sequenced=True,
+    )
+    wins = source.parse_wins(records(*[win(i, 10) for i in ("late", "same", "null", "neg", "zero", "none", None)]))
+    expected = {"late": None, "same": 0.3, "null": None, "neg": -0.01, "zero": 0.0, "none": None}
+    assert dict(rows(reconcile.reco_asof(wins, bids), "auctid", "cP")) == expected
+    table = reconcile.bid_table(bids)
+    last = reconcile.reco(wins, table)
+    assert dict(rows(last, "auctid", "cP")) == {**expected, "late": 0.1}
+    assert rows(reconcile.reco_valid(last), "auctid", "cP") == [("late", 0.1), ("same", 0.3), ("zero", 0.0)]
+
+
+def test_invariants_on_the_given_tables(spark):
+    from conftest import SF_DIR
+
+    from tweetflow.plans import queries as q
+
+    transformed, mentions = q.tweet_transformed(spark, SF_DIR), q.user_mentions(spark, SF_DIR)
+    assert q.user_table(spark, SF_DIR).agg(F.sum("count")).first()[0] == transformed.count()
+    assert q.mentions_table(spark, SF_DIR).agg(F.sum("mentioned")).first()[0] == mentions.count()
+    parsed = q._tweets(spark, SF_DIR)
+    shuffled = parsed.repartition(7).sortWithinPartitions(F.col("id").desc())
+    assert rows(totals.totals_from_deltas(totals.user_deltas(shuffled))) == rows(q.reconciliation_union(spark, SF_DIR))

@@ -1,0 +1,87 @@
+"""Keys that hold a third of all rows or more: same rows as brute force, and no task that gets them all."""
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tweetflow.operators import reconcile, skew
+
+BID = "timestamp bigint, id string, clickProbability double, seq_a bigint, seq_b bigint, seq_c bigint"
+WIN = "timestamp bigint, auctid string, winPrice double"
+
+
+def brute_force(wins, bids):
+    out = []
+    for ts, auction, price in wins:
+        seen = [b for b in bids if b[1] == auction and b[0] <= ts]
+        out.append((auction, price, max(seen, key=lambda b: (b[0], b[3]))[2] if seen else None))
+    return sorted(out, key=repr)
+
+
+def skewed(seed, n=1500):
+    """Two hot auctions over many slices, one hot instant, copies, NULL probabilities and cold auctions."""
+    pick = random.Random(seed)
+    auction = lambda: pick.choice(["hot"] * 4 + ["hot2"] * 2 + [f"a{pick.randrange(n)}"] * 3)
+    when = lambda: pick.choice([500, pick.randrange(2000)])
+    bids = [(when(), auction(), pick.choice([None, pick.random()]), i, 0, 0) for i in range(n)]
+    wins = [(when(), auction(), float(pick.randrange(5))) for _ in range(n)] + [(500, "hot", 1.0)] * (n // 3)
+    return wins, bids
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("slice_ms", [7, 100, 10_000])
+def test_asof_with_hot_auctions(spark, seed, slice_ms):
+    wins, bids = skewed(seed)
+    w, b = spark.createDataFrame(wins, WIN), spark.createDataFrame(bids, BID)
+    heavy = skew.heavy_keys(reconcile.tagged_events(w, b), "id", 200)
+    assert set(heavy) == {"hot", "hot2"}
+    got = reconcile.reco_asof(w, b, min_rows=200, slice_ms=slice_ms)
+    assert rows(got) == brute_force(wins, bids)
+    assert rows(reconcile.reco_asof(w, b)) == brute_force(wins, bids)
+
+
+def test_events_without_a_time_are_older_than_all(spark):
+    wins, bids = [(None, "hot", 1.0)] * 50 + [(5, "hot", 2.0)] * 50, [(None, "hot", 0.5, 1, 0, 0), (4, "hot", 0.7, 2, 0, 0)]
+    w, b = spark.createDataFrame(wins, WIN), spark.createDataFrame(bids, BID)
+    expected = [("hot", 1.0, 0.5)] * 50 + [("hot", 2.0, 0.7)] * 50
+    assert rows(reconcile.reco_asof(w, b, min_rows=10)) == expected
+    assert rows(reconcile.reco_asof(w, b)) == expected
+
+
+def test_heavy_keys_counts_share_and_rows(spark):
+    frame = spark.range(0, 90_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), "id")).alias("key")
+    )
+    assert skew.heavy_keys(frame, "key", 1000) == ["hot"]
+    assert skew.heavy_keys(frame, "key", 30_001) == []
+    assert skew.heavy_keys(frame, "key") == []
+    assert skew.heavy_keys(frame.limit(0), "key", 0) == []
+
+
+def test_hot_rows_are_joined_without_a_shuffle(spark):
+    wins, bids = skewed(3)
+    w, b = spark.createDataFrame(wins, WIN), spark.createDataFrame(bids, BID)
+    table = reconcile.bid_table(b)
+    split = reconcile.reco(w, table, heavy=["hot", "hot2"])
+    assert rows(split) == rows(reconcile.reco(w, table, heavy=[]))
+    assert len(rows(split)) == len(wins)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_too_many_keys_are_never_broadcast(spark):
+    wins = spark.createDataFrame([(1, "a", 1.0)], WIN)
+    table = spark.createDataFrame([("a", 0.1)], "id string, cP double")
+    with pytest.raises(ValueError):
+        reconcile.reco(wins, table, heavy=[str(i) for i in range(skew.MAX_HEAVY + 1)])
+
+
+def test_looking_for_heavy_keys_shuffles_sketches_only(spark):
+    """The job behind heavy_keys must not shuffle rows by key."""
+    frame = spark.range(0, 50_000, 1, 4).select(F.concat(F.lit("k"), "id").alias("key"))
+    keyed = frame.select(F.col("key").alias("k"), (F.spark_partition_id() % 64).alias("g"))
+    plan = keyed.groupBy("g").agg(F.expr("approx_top_k_accumulate(k, 100)").alias("s"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_approx_top_k_accumulate" in text and text.count("Exchange") == 1

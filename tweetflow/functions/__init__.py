@@ -53,8 +53,9 @@ def hashtag_text(hashtags: Column) -> Column:
 
 
 def to_int_clamped(value: Column) -> Column:
-    """A whole number as int, held at the ends of the 32-bit range instead of overflowing."""
-    return F.greatest(F.least(value, F.lit(INT_MAX)), F.lit(INT_MIN)).cast("int")
+    """A whole number as int, held at the ends of the 32-bit range instead of overflowing; NULL stays."""
+    held = F.greatest(F.least(value, F.lit(INT_MAX)), F.lit(INT_MIN))
+    return F.when(value.isNotNull(), held).cast("int")
 
 
 def json_record(*columns: str) -> Column:

@@ -47,15 +47,17 @@ def reco_valid(reconciled: DataFrame) -> DataFrame:
 
 
 def tagged_events(wins: DataFrame, bids: DataFrame) -> DataFrame:
-    """Bids and wins in one shape; ``side`` puts the bids of an instant before its wins."""
+    """Bids and wins in one shape; ``side`` puts the bids of an instant before its wins.
+
+    An event without a time counts as older than all others.
+    """
+    beginning = F.lit(-(2**63))
     nothing = [F.lit(None).cast("bigint").alias(c) for c in BID_ORDER[1:]]
-    bid_rows = bids.select(
-        "id", *BID_ORDER, F.lit(0).alias("side"), F.lit(None).cast("double").alias("winPrice"), F.col("clickProbability").alias("cP")
-    )
-    win_rows = wins.select(
-        F.col("auctid").alias("id"), "timestamp", *nothing, F.lit(1).alias("side"), "winPrice", F.lit(None).cast("double").alias("cP")
-    )
-    return bid_rows.unionByName(win_rows).where("id IS NOT NULL")
+    no_price, no_bid = F.lit(None).cast("double").alias("winPrice"), F.lit(None).cast("double").alias("cP")
+    bid_rows = bids.select("id", *BID_ORDER, F.lit(0).alias("side"), no_price, F.col("clickProbability").alias("cP"))
+    win_rows = wins.select(F.col("auctid").alias("id"), "timestamp", *nothing, F.lit(1).alias("side"), "winPrice", no_bid)
+    events = bid_rows.unionByName(win_rows).where("id IS NOT NULL")
+    return events.withColumn("timestamp", F.coalesce("timestamp", beginning))
 
 
 def reco_asof(wins: DataFrame, bids: DataFrame, min_rows: int = HEAVY_ROWS, slice_ms: int = SLICE_MS) -> DataFrame:
@@ -90,11 +92,10 @@ def _asof_by_slice(events: DataFrame, min_rows: int, slice_ms: int) -> DataFrame
     inside each slice, and the last bid before the slice fills what is still open. Last, the answers
     go back to the wins, where an instant with very many wins is a heavy key in turn.
     """
-    events = events.withColumn("at", F.struct("id", "timestamp"))
+    at = F.concat_ws(":", "timestamp", "id").alias("at")
     bid = F.when(F.col("side") == 0, F.struct(*BID_ORDER, F.struct("cP").alias("bid")))
     instants = (
-        events.groupBy("at").agg(F.max(bid).alias("last"), F.max("side").alias("asked"))
-        .select("at", "at.id", "at.timestamp", "last", "asked")
+        events.groupBy("id", "timestamp").agg(F.max(bid).alias("last"), F.max("side").alias("asked"))
         .withColumn("slice", F.floor(F.col("timestamp") / slice_ms))
     )
     in_slice = Window.partitionBy("id", "slice").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,12 +105,7 @@ def _asof_by_slice(events: DataFrame, min_rows: int, slice_ms: int) -> DataFrame
         instants.groupBy("id", "slice").agg(F.max("last").alias("last"))
         .select("id", "slice", F.last("last", ignorenulls=True).over(earlier).alias("opening"))
     )
-    answers = running.join(opening, ["id", "slice"]).select("at", F.coalesce("last", "opening")["bid"]["cP"].alias("cP"))
-    asked = events.where("side = 1").select("at", "winPrice")
-    heavy = heavy_keys(asked, "at", min_rows)
-    return _answers_to_wins(asked, answers, heavy)
-
-
-def _answers_to_wins(asked: DataFrame, answers: DataFrame, heavy: list) -> DataFrame:
-    joined = join_latest(asked, answers, "at", [F.struct(F.lit(r["id"]).alias("id"), F.lit(r["timestamp"]).alias("timestamp")) for r in heavy])
-    return joined.select(F.col("at.id").alias("auctid"), "winPrice", "cP")
+    answers = running.join(opening, ["id", "slice"]).select(at, F.coalesce("last", "opening")["bid"]["cP"].alias("cP"))
+    asked = events.where("side = 1").select("id", "winPrice", at)
+    answered = join_latest(asked, answers, "at", heavy_keys(asked, "at", min_rows))
+    return answered.select(F.col("id").alias("auctid"), "winPrice", "cP")

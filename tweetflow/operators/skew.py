@@ -28,8 +28,11 @@ def heavy_keys(rows: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> list:
     sketches = keyed.groupBy("g").agg(
         F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"), F.count(F.lit(1)).alias("n")
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n"))
-    found = merged.where("n > 0").select("n", F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top")).first()
+    # Grouped by a constant, so that empty input gives no row instead of an empty sketch.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n")
+    )
+    found = merged.select("n", F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top")).first()
     if found is None:
         return []
     least = max(min_rows, found["n"] / HEAVY_PART)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tweetflow import sinks
 from tweetflow.functions import epoch_ms, epoch_ms_to_date, millis
 from tweetflow.operators import changelog, reconcile, totals, tweets
+from tweetflow.operators.skew import heavy_keys
 from tweetflow.session import shared_dir
 from tweetflow.sources import records, tables
 from tweetflow.streaming import feeds, live_reco, topics
@@ -277,6 +278,7 @@ def stream_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wins answered live while bids and wins arrive in the order of their time."""
     path = shared_dir(spark, "reco")
+    busy = heavy_keys(tables.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id")), "id")
 
     def instant(ms: int | None):
         if ms is None:
@@ -289,7 +291,7 @@ def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
             sinks.split_lines(wave, f"{path}/{name}", LINES_PER_FILE)
         bids = records.parse_bids(topics.file_topic(spark, f"{path}/bids"), sequenced=True)
         wins = records.parse_wins(topics.file_topic(spark, f"{path}/wins"))
-        live_reco.start_live_reco(wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+        live_reco.start_live_reco(wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN, busy).awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 

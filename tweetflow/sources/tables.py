@@ -22,6 +22,15 @@ def _first(items: list[int], count: Column) -> Column:
     return F.slice(F.array(*[F.lit(i).cast("bigint") for i in items]), 1, count.cast("int"))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a table with fewer splits than the session has cores, dealt to all cores.
+
+    A table of a cluster's size has more splits than cores and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _record(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields))
 
@@ -91,7 +100,8 @@ def bid_records(spark: SparkSession, sf_dir: str, narrow: Narrow | None = None)
     """One bid per order line; the auction is the order."""
     lines = table(spark, sf_dir, "lineitem")
     lines = narrow(lines) if narrow else lines
-    return lines.select(
+    lines = lines.select("l_shipdate", "l_orderkey", "l_suppkey", "l_discount", "l_linenumber", "l_partkey")
+    return _dealt(lines).select(
         F.lit(None).cast("string").alias("key"),
         _record(
             epoch_ms("l_shipdate").alias("timestamp"),
@@ -109,7 +119,7 @@ def win_records(spark: SparkSession, sf_dir: str, narrow: Narrow | None = None)
     """One win per order."""
     orders = table(spark, sf_dir, "orders")
     orders = narrow(orders) if narrow else orders
-    return orders.select(
+    return _dealt(orders.select("o_orderdate", "o_orderkey", "o_custkey", "o_totalprice")).select(
         F.lit(None).cast("string").alias("key"),
         _record(
             epoch_ms("o_orderdate").alias("timestamp"),

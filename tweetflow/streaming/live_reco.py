@@ -2,60 +2,101 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tweetflow.operators.reconcile import tagged_events
+from tweetflow.operators.skew import is_heavy
 from tweetflow.schemas import BID_ORDER
 from tweetflow.session import STATE_STORE, settings
 from tweetflow.sinks import append_stream
 
-WIN_LANES = 4
+# The processor travels to the Python workers by value, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Auctions are grouped by hash, so that Python is called once per group and not once per auction.
+GROUPS = 256
+# Groups that share the wins of a busy auction.
+LANES = 8
 
-def _answer(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Answers one auction's wins of a micro-batch, bids before wins at an instant; keeps the last bid."""
-    rows = pd.concat(list(chunks), ignore_index=True)
-    rows = rows.sort_values(["timestamp", "side", *BID_ORDER[1:]], kind="stable", na_position="first", ignore_index=True)
-    is_bid = (rows["side"] == 0).to_numpy()
-    probability = rows["cP"].to_numpy(dtype="float64", na_value=np.nan)
-    last_bid = np.maximum.accumulate(np.where(is_bid, np.arange(len(rows)), -1))
-    carried = state.get[0] if state.exists else None
-    before = np.nan if carried is None else carried
-    answer = np.where(last_bid >= 0, probability[last_bid], before)
-    if last_bid[-1] >= 0:
-        final = probability[last_bid[-1]]
-        state.update((None if np.isnan(final) else float(final),))
-    wins = ~is_bid
-    if wins.any():
-        yield pd.DataFrame({"auctid": key[0], "winPrice": rows["winPrice"][wins], "cP": answer[wins]})
 
+class _LastBids(StatefulProcessor):
+    """Keeps the last bid of each auction of a group and answers the group's wins."""
 
-def live_reco(wins: DataFrame, bids: DataFrame, lanes: int = WIN_LANES) -> DataFrame:
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getMapState("last_bid", "id string", "cP double")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        events = pd.concat(list(rows), ignore_index=True)
+        auction, ids = pd.factorize(events["id"])
+        columns = [events[c].to_numpy() for c in ("timestamp", "side", *BID_ORDER[1:])]
+        order = np.lexsort([*reversed(columns), auction])
+        auction = auction[order]
+        is_bid = events["side"].to_numpy()[order] == 0
+        probability = events["cP"].to_numpy(dtype="float64")[order]
+
+        position = np.arange(len(order))
+        starts = np.flatnonzero(np.r_[True, auction[1:] != auction[:-1]])
+        ends = np.r_[starts[1:], len(order)] - 1
+        own_start = np.repeat(starts, ends - starts + 1)
+        last_bid = np.maximum.accumulate(np.where(is_bid, position, -1))
+        found = last_bid >= own_start
+        answer = np.where(found, probability[last_bid], np.nan)
+
+        before = ~is_bid & ~found  # wins ahead of their auction's first bid in this micro-batch
+        carried = np.full(len(ids), np.nan)
+        for code in np.unique(auction[before]):
+            bid = self._last.getValue((ids[code],))
+            if bid is not None and bid[0] is not None:
+                carried[code] = bid[0]
+        answer[before] = carried[auction[before]]
+        for end in ends[found[ends]]:
+            final = probability[last_bid[end]]
+            self._last.updateValue((ids[auction[end]],), (None if np.isnan(final) else float(final),))
+
+        wins = ~is_bid
+        yield pd.DataFrame(
+            {"auctid": ids[auction[wins]], "winPrice": events["winPrice"].to_numpy()[order][wins], "cP": answer[wins]}
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def live_reco(wins: DataFrame, bids: DataFrame, busy: list | None = None, groups: int = GROUPS, lanes: int = LANES) -> DataFrame:
     """Every win with the bid that is current when the win is processed; a later bid changes nothing.
 
-    State is the last bid per auction. An auction's wins are dealt to ``lanes`` groups and its bids go
-    to all of them, so a busy auction's wins are not answered by one task. Rows of a group are held
-    together for one micro-batch only; cap the micro-batch at the source. The number of lanes must
-    stay the same for the life of a checkpoint.
+    Within a micro-batch bids and wins of an auction take effect by time, bids first. State is the last
+    bid per auction, kept for ever, and a micro-batch touches only the auctions in it.
+
+    The wins of a ``busy`` auction (``heavy_keys`` finds them in the records at hand) are dealt to
+    ``lanes`` groups and its bids go to each of them, so that no task answers it alone. A group's rows
+    are held together for one micro-batch; cap the micro-batch at the source. ``busy``, ``groups`` and
+    ``lanes`` must stay the same for the life of a checkpoint.
     """
-    events = tagged_events(wins, bids)
-    of_win = F.array(F.pmod(F.xxhash64("timestamp", "winPrice"), F.lit(lanes)))
-    every = F.array(*[F.lit(i).cast("bigint") for i in range(lanes)])
-    dealt = events.withColumn("lane", F.explode(F.when(F.col("side") == 1, of_win).otherwise(every)))
-    return dealt.groupBy("id", "lane").applyInPandasWithState(
-        _answer, "auctid string, winPrice double, cP double", "cP double", "append", GroupStateTimeout.NoTimeout
+    # No NULLs among the ordering columns: pandas would turn them into floats.
+    events = tagged_events(wins, bids).withColumns({c: F.coalesce(c, F.lit(-(2**63))) for c in BID_ORDER[1:]})
+    one_lane = F.array(F.pmod(F.xxhash64("timestamp", "winPrice"), F.lit(lanes)))
+    all_lanes = F.array(*[F.lit(i).cast("bigint") for i in range(lanes)])
+    shared = F.when(F.col("side") == 1, one_lane).otherwise(all_lanes)
+    own = F.array(F.lit(0).cast("bigint"))
+    dealt = events.withColumn("lane", F.explode(F.when(is_heavy("id", busy or []), shared).otherwise(own)))
+    grouped = dealt.withColumn("group", F.pmod(F.hash("id", "lane"), F.lit(groups))).drop("lane")
+    return grouped.groupBy("group").transformWithStateInPandas(
+        _LastBids(), "auctid string, winPrice double, cP double", "append", "None"
     )
 
 
 def start_live_reco(
-    wins: DataFrame, bids: DataFrame, path: str, checkpoint: str, trigger: dict, lanes: int = WIN_LANES
+    wins: DataFrame, bids: DataFrame, path: str, checkpoint: str, trigger: dict,
+    busy: list | None = None, groups: int = GROUPS, lanes: int = LANES,
 ) -> StreamingQuery:
     with settings(wins.sparkSession, STATE_STORE):
-        return append_stream(live_reco(wins, bids, lanes), path, checkpoint, trigger)
+        return append_stream(live_reco(wins, bids, busy, groups, lanes), path, checkpoint, trigger)
