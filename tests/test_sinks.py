@@ -1,11 +1,14 @@
 """Files, topics, the index, named tables."""
 
+import json
 from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tweetflow import sinks
+from tweetflow import schemas, sinks
+from tweetflow.operators import tweets
 from tweetflow.session import shared_dir
 
 
@@ -96,3 +99,21 @@ def test_named_tables_are_replaced(spark):
 
 def test_shared_dir_uses_the_folder_the_session_names(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_typed_records_must_fit_the_declared_schema(spark):
+    assert tweets.user_records(users(spark, 3)).schema.simpleString() == schemas.USER_RECORD.simpleString()
+    with pytest.raises(Exception, match="name"):
+        tweets.user_records(users(spark, 3).drop("name"))
+
+
+def test_avro_and_kafka_need_their_packages(spark):
+    fields = {f["name"]: f["type"] for f in json.loads(schemas.USER_RECORD_AVRO)["fields"]}
+    assert fields == {"userID": "string", "count": "int", "fav": "int", "hashtags": "int", "name": "string", "mentioned": "int"}
+    typed = tweets.user_records(users(spark, 3))
+    with pytest.raises(Exception, match="(?i)avro"):
+        tweets.avro_records(typed).collect()
+    with pytest.raises(Exception, match="(?i)avro"):
+        sinks.write_files(typed, shared_dir(spark, "avro"), fmt="avro")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sinks.kafka_writer("localhost:9092", "tweets-reconciliation")(typed, 0)

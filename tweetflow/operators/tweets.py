@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.avro.functions import from_avro, to_avro
 
+from tweetflow import schemas
 from tweetflow.functions import (
     contains_ignoring_case,
     epoch_ms_to_date,
@@ -91,14 +93,23 @@ def keyed_json(records: DataFrame, key: str | None, fields: list[str]) -> DataFr
 
 
 def user_records(totals: DataFrame) -> DataFrame:
-    """Totals as typed records with 32-bit counters."""
-    counters = ["count", "fav", "hashtags"]
-    return totals.select(
-        "userID",
-        *[to_int_clamped(F.col(name)).alias(name) for name in counters],
-        "name",
-        to_int_clamped(F.col("mentioned")).alias("mentioned"),
-    )
+    """Totals as typed records with 32-bit counters, checked against the declared schema."""
+    typed = {name: to_int_clamped(F.col(name)) for name in ("count", "fav", "hashtags", "mentioned")}
+    return totals.withColumns(typed).select(*schemas.USER_RECORD.names).to(schemas.USER_RECORD)
+
+
+def avro_records(records: DataFrame, key: str = "userID") -> DataFrame:
+    """Typed user records as (key, Avro value); needs the Avro package on the classpath.
+
+    Columns that do not fit the declared schema fail before a job starts.
+    """
+    value = to_avro(F.struct(*schemas.USER_RECORD.names), schemas.USER_RECORD_AVRO)
+    return records.select(F.col(key).alias("key"), value.alias("value"))
+
+
+def from_avro_records(records: DataFrame) -> DataFrame:
+    """Read a topic of Avro user records back; needs the Avro package on the classpath."""
+    return records.select(from_avro("value", schemas.USER_RECORD_AVRO).alias("r")).select("r.*")
 
 
 def user_lookup(totals: DataFrame, user_id: str) -> DataFrame:

@@ -217,6 +217,11 @@ def _between(column: str, low, high) -> tables.Narrow:
     return narrow
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """One state partition per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _tweet_waves(spark: SparkSession, sf_dir: str, path: str) -> Iterator[None]:
     for low, high in _waves(tables.table(spark, sf_dir, "events").select("event_id")):
         sinks.split_lines(tables.tweet_records(spark, sf_dir, _between("event_id", low, high)), path, LINES_PER_FILE)
@@ -239,7 +244,9 @@ def stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
         lines = topics.file_topic(spark, f"{path}/in")
         writers = [sinks.changelog_writer(f"{path}/out")]
-        feeds.start_reconciliation(lines, writers, f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+        feeds.start_reconciliation(
+            lines, writers, f"{path}/checkpoint", topics.DRAIN, _state_partitions(spark)
+        ).awaitTermination()
     log = sinks.read_changelog(spark, f"{path}/out")
     return records.parse_user_totals(totals.latest_by_key(log, ["key"], ["batch_id"]))
 
@@ -250,7 +257,9 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
         lines = topics.file_topic(spark, f"{path}/in")
         writers = [sinks.index_writer(f"{path}/index"), sinks.typed_writer(f"{path}/typed")]
-        feeds.start_reconciliation(lines, writers, f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+        feeds.start_reconciliation(
+            lines, writers, f"{path}/checkpoint", topics.DRAIN, _state_partitions(spark)
+        ).awaitTermination()
     return sinks.read_index(spark, f"{path}/index")
 
 
@@ -262,7 +271,9 @@ def stream_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         running = [
             feeds.start_transformed(lines, f"{path}/transformed", f"{path}/checkpoint-transformed", topics.DRAIN),
             feeds.start_keyword_feed(lines, f"{path}/mario", f"{path}/checkpoint-mario", topics.DRAIN),
-            feeds.start_reconciliation(lines, [sinks.index_writer(f"{path}/index")], f"{path}/checkpoint-totals", topics.DRAIN),
+            feeds.start_reconciliation(
+                lines, [sinks.index_writer(f"{path}/index")], f"{path}/checkpoint-totals", topics.DRAIN, _state_partitions(spark)
+            ),
         ]
         for query in running:
             query.awaitTermination()
@@ -291,7 +302,9 @@ def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
             sinks.split_lines(wave, f"{path}/{name}", LINES_PER_FILE)
         bids = records.parse_bids(topics.file_topic(spark, f"{path}/bids"), sequenced=True)
         wins = records.parse_wins(topics.file_topic(spark, f"{path}/wins"))
-        live_reco.start_live_reco(wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN, busy).awaitTermination()
+        live_reco.start_live_reco(
+            wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN, busy, state_partitions=_state_partitions(spark)
+        ).awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import types as T
 
 
@@ -50,6 +52,17 @@ USER_TOTALS = _struct(userID=_TEXT, count=_LONG, fav=_LONG, hashtags=_LONG, name
 # The typed user record: the counters are 32-bit.
 USER_RECORD = _struct(userID=_TEXT, count=_INT, fav=_INT, hashtags=_INT, name=_TEXT, mentioned=_INT)
 
+# The same record as an Avro schema.
+USER_RECORD_AVRO = json.dumps(
+    {
+        "type": "record",
+        "name": "user",
+        "fields": [
+            {"name": field.name, "type": "int" if field.dataType == _INT else "string"} for field in USER_RECORD.fields
+        ],
+    }
+)
+
 
 def subset(schema: T.StructType, names: list[str]) -> T.StructType:
     """The named top-level fields of a schema, in schema order."""

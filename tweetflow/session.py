@@ -16,6 +16,11 @@ STATE_STORE = {
 }
 
 
+def state_settings(partitions: int | None = None) -> dict[str, str]:
+    """Options for starting a stateful stream, which keeps the number of state partitions for ever."""
+    return STATE_STORE | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+
+
 def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> SparkSession:
     """A single-machine session. On a cluster the caller brings its own."""
     builder = (

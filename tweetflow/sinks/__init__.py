@@ -47,6 +47,15 @@ def write_kafka(records: DataFrame, servers: str, topic: str) -> None:
     records.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
+def kafka_writer(servers: str, topic: str, key: str = "userID", fields: list[str] | None = None) -> BatchWriter:
+    """Sends each micro-batch of a table's updates to a broker as keyed JSON."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_kafka(keyed_json(batch, key, fields or batch.columns), servers, topic)
+
+    return write
+
+
 def write_files(
     rows: DataFrame, path: str, key: str = "userID", rows_per_file: int = ROWS_PER_FILE,
     partitions: int = PARTITIONS, fmt: str = "parquet", mode: str = "overwrite",
@@ -151,6 +160,15 @@ def create_table_as(rows: DataFrame, name: str, path: str) -> None:
     rows.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
 
 
+def send_stream(records: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Send a stream of (key, value) records to a broker; needs the Kafka package on the classpath."""
+    return (
+        records.select("key", "value").writeStream.outputMode("append").format("kafka")
+        .option("kafka.bootstrap.servers", servers).option("topic", topic)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
 def append_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict, fmt: str = "parquet") -> StreamingQuery:
     """Write a stream of new rows to files; each row lands exactly once."""
     return (

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tweetflow.operators.totals import totals_from_deltas, user_deltas
 from tweetflow.operators.tweets import MARIO_FIELDS, keyed_json, keyword_feed, tweet_transformed
-from tweetflow.session import STATE_STORE, settings
+from tweetflow.session import settings, state_settings
 from tweetflow.sinks import BatchWriter, append_stream
 from tweetflow.sources.records import parse_tweets
 
@@ -32,12 +32,13 @@ def start_keyword_feed(records: DataFrame, path: str, checkpoint: str, trigger:
 
 
 def start_reconciliation(
-    records: DataFrame, writers: list[BatchWriter], checkpoint: str, trigger: dict = COMPACTION
+    records: DataFrame, writers: list[BatchWriter], checkpoint: str, trigger: dict = COMPACTION,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running totals per user; every writer gets the users that changed in a micro-batch.
 
-    The state is one row per user, kept for ever, in as many partitions as the session has shuffle
-    partitions when the checkpoint is first used.
+    The state is one row per user, kept for ever, in ``state_partitions`` partitions (by default the
+    session's shuffle partitions); the checkpoint fixes their number on the first start.
     """
     totals = totals_from_deltas(user_deltas(parse_tweets(records)))
 
@@ -49,7 +50,7 @@ def start_reconciliation(
         finally:
             batch.unpersist()
 
-    with settings(records.sparkSession, STATE_STORE):
+    with settings(records.sparkSession, state_settings(state_partitions)):
         return (
             totals.writeStream.outputMode("update").foreachBatch(each)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start()

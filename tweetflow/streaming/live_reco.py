@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from tweetflow.operators.reconcile import tagged_events
 from tweetflow.operators.skew import is_heavy
 from tweetflow.schemas import BID_ORDER
-from tweetflow.session import STATE_STORE, settings
+from tweetflow.session import settings, state_settings
 from tweetflow.sinks import append_stream
 
 # The processor travels to the Python workers by value, so they need not have this package.
@@ -96,7 +96,7 @@ def live_reco(wins: DataFrame, bids: DataFrame, busy: list | None = None, groups
 
 def start_live_reco(
     wins: DataFrame, bids: DataFrame, path: str, checkpoint: str, trigger: dict,
-    busy: list | None = None, groups: int = GROUPS, lanes: int = LANES,
+    busy: list | None = None, groups: int = GROUPS, lanes: int = LANES, state_partitions: int | None = None,
 ) -> StreamingQuery:
-    with settings(wins.sparkSession, STATE_STORE):
+    with settings(wins.sparkSession, state_settings(state_partitions)):
         return append_stream(live_reco(wins, bids, busy, groups, lanes), path, checkpoint, trigger)
