@@ -42,6 +42,13 @@ def test_asof_with_hot_auctions(spark, seed, slice_ms):
     assert rows(reconcile.reco_asof(w, b)) == brute_force(wins, bids)
 
 
+def test_hot_auctions_are_shuffled_once_for_both_steps(spark):
+    wins, bids = skewed(4)
+    got = reconcile.reco_asof(spark.createDataFrame(wins, WIN), spark.createDataFrame(bids, BID), min_rows=200, slice_ms=100)
+    got.collect()
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_events_without_a_time_are_older_than_all(spark):
     wins, bids = [(None, "hot", 1.0)] * 50 + [(5, "hot", 2.0)] * 50, [(None, "hot", 0.5, 1, 0, 0), (4, "hot", 0.7, 2, 0, 0)]
     w, b = spark.createDataFrame(wins, WIN), spark.createDataFrame(bids, BID)
@@ -81,7 +88,7 @@ def test_too_many_keys_are_never_broadcast(spark):
 def test_looking_for_heavy_keys_shuffles_sketches_only(spark):
     """The job behind heavy_keys must not shuffle rows by key."""
     frame = spark.range(0, 50_000, 1, 4).select(F.concat(F.lit("k"), "id").alias("key"))
-    keyed = frame.select(F.col("key").alias("k"), (F.spark_partition_id() % 64).alias("g"))
+    keyed = frame.select(F.col("key").alias("k"), (F.spark_partition_id() % 1_024).alias("g"))
     plan = keyed.groupBy("g").agg(F.expr("approx_top_k_accumulate(k, 100)").alias("s"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "partial_approx_top_k_accumulate" in text and text.count("Exchange") == 1

@@ -101,9 +101,12 @@ def _asof_by_slice(events: DataFrame, min_rows: int, slice_ms: int) -> DataFrame
     in_slice = Window.partitionBy("id", "slice").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = instants.withColumn("last", F.last("last", ignorenulls=True).over(in_slice)).where("asked = 1")
     earlier = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Only slices with wins need an opening bid. Asking for it also keeps both branches alike, so that
+    # they share one shuffle of the instants.
     opening = (
-        instants.groupBy("id", "slice").agg(F.max("last").alias("last"))
-        .select("id", "slice", F.last("last", ignorenulls=True).over(earlier).alias("opening"))
+        instants.groupBy("id", "slice").agg(F.max("last").alias("last"), F.max("asked").alias("asked"))
+        .select("id", "slice", "asked", F.last("last", ignorenulls=True).over(earlier).alias("opening"))
+        .where("asked = 1").drop("asked")
     )
     answers = running.join(opening, ["id", "slice"]).select(at, F.coalesce("last", "opening")["bid"]["cP"].alias("cP"))
     asked = events.where("side = 1").select("id", "winPrice", at)

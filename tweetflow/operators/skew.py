@@ -12,7 +12,7 @@ HEAVY_ROWS = 1_000_000
 # rows, so fewer than 1 / (1 / HEAVY_PART - 3.5 / SKETCH_ITEMS) = 1539 keys can pass the threshold.
 MAX_HEAVY = 2_000
 SKETCH_ITEMS = 10_000
-_GROUPS = 64
+_GROUPS = 1_024
 
 
 def heavy_keys(rows: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> list:

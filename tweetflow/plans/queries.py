@@ -19,7 +19,7 @@ from tweetflow.streaming import feeds, live_reco, topics
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Streams are fed in this many steps; each step is one run of the stream to its end.
-WAVES = 3
+WAVES = 2
 LINES_PER_FILE = 100_000
 LOOKED_UP = "7"
 
