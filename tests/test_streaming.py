@@ -9,6 +9,7 @@ from conftest import rows, tweet
 from pyspark.sql import functions as F
 
 from tweetflow import sinks
+from tweetflow.fixed import PACED
 from tweetflow.operators import reconcile, totals, tweets
 from tweetflow.session import shared_dir
 from tweetflow.sources import records as source
@@ -83,7 +84,7 @@ def test_replay_takes_one_file_per_trigger(spark):
         publish(spark, f"{path}/in", tweet(i))
     lines = topics.file_topic(spark, f"{path}/in", files_per_trigger=1)
     batches = []
-    query = lines.writeStream.foreachBatch(lambda b, i: batches.append(b.count())).trigger(**topics.PACED).start()
+    query = lines.writeStream.foreachBatch(lambda b, i: batches.append(b.count())).trigger(**PACED).start()
     try:
         deadline = time.time() + 60
         while sum(batches) < 3 and time.time() < deadline:

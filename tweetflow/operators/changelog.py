@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tweetflow.operators.totals import COUNTERS, TOTALS, latest_by_key, user_deltas
+from tweetflow.fixed import TOTALS
+from tweetflow.operators.totals import COUNTERS, latest_by_key, user_deltas
 
 
 def changelog_by_interval(tweets: DataFrame, interval: Column) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tweetflow.fixed import TOTALS
+
 COUNTERS = ["count", "fav", "hashtags", "mentioned"]
-TOTALS = ["userID", "count", "fav", "hashtags", "name", "mentioned"]
 
 
 def user_table(transformed: DataFrame) -> DataFrame:

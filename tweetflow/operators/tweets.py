@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
 
 from tweetflow import schemas
+from tweetflow.fixed import LANG, WORD
 from tweetflow.functions import (
     contains_ignoring_case,
     epoch_ms_to_date,
@@ -39,7 +40,7 @@ def user_mentions(tweets: DataFrame) -> DataFrame:
     return mentions.where("userID IS NOT NULL").select("userID", F.lit(1).cast("bigint").alias("mentioned"))
 
 
-def keyword_feed(tweets: DataFrame, lang: str = "fr", word: str = "mario") -> DataFrame:
+def keyword_feed(tweets: DataFrame, lang: str = LANG, word: str = WORD) -> DataFrame:
     """Tweets of one language that contain a word, both compared without regard to case.
 
     ``screen_name`` holds the user's display name. Tweets without a readable time are left out.
@@ -80,7 +81,7 @@ def sql_tweets_transformed(tweets_raw: DataFrame) -> DataFrame:
     )
 
 
-def sql_keyword_feed(transformed: DataFrame, lang: str = "fr", word: str = "mario") -> DataFrame:
+def sql_keyword_feed(transformed: DataFrame, lang: str = LANG, word: str = WORD) -> DataFrame:
     """The SQL feed's variant: both comparisons respect case, ``screen_name`` is the real one."""
     return transformed.where(F.contains("text", F.lit(word)) & (F.col("lang") == lang)).select(
         "id", "user_id", F.col("user_screen_name").alias("screen_name"), "created_at", "hashtags", "text"

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tweetflow import sinks
+from tweetflow import fixed, sinks
 from tweetflow.functions import epoch_ms, epoch_ms_to_date, millis
 from tweetflow.operators import changelog, reconcile, totals, tweets
 from tweetflow.operators.skew import heavy_keys
@@ -74,16 +74,16 @@ def avro_user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_json_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tweets.keyed_json(tweet_transformed(spark, sf_dir), "userID", feeds.TRANSFORMED)
+    return tweets.keyed_json(tweet_transformed(spark, sf_dir), "userID", fixed.TRANSFORMED)
 
 
 def keyed_json_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tweets.keyed_json(reconciliation_union(spark, sf_dir), "userID", totals.TOTALS)
+    return tweets.keyed_json(reconciliation_union(spark, sf_dir), "userID", fixed.TOTALS)
 
 
 def keyed_json_mario(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = tweets.keyword_feed(_tweets(spark, sf_dir, tweets.MARIO_FIELDS))
-    return tweets.keyed_json(feed, None, feeds.MARIO)
+    return tweets.keyed_json(feed, None, fixed.MARIO)
 
 
 def keyed_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals exported to files of 100 rows and read back."""
     path = shared_dir(spark, "export")
     sinks.write_files(reconciliation_union(spark, sf_dir), path)
-    return spark.read.parquet(path).select(*totals.TOTALS)
+    return spark.read.parquet(path).select(*fixed.TOTALS)
 
 
 def user_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

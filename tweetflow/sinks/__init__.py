@@ -14,11 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tweetflow import schemas
-from tweetflow.operators.totals import TOTALS, latest_by_key
+from tweetflow.fixed import PARTITIONS, ROWS_PER_FILE, TOTALS
+from tweetflow.operators.totals import latest_by_key
 from tweetflow.operators.tweets import keyed_json, user_records
 
-PARTITIONS = 10  # of every topic
-ROWS_PER_FILE = 100  # of the replayed input and of exported files
 INDEX_BUCKETS = 16
 
 BatchWriter = Callable[[DataFrame, int], None]

@@ -9,17 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tweetflow.fixed import COMPACTION, MARIO, TRANSFORMED
 from tweetflow.operators.totals import totals_from_deltas, user_deltas
 from tweetflow.operators.tweets import MARIO_FIELDS, keyed_json, keyword_feed, tweet_transformed
 from tweetflow.session import settings, state_settings
 from tweetflow.sinks import BatchWriter, append_stream
 from tweetflow.sources.records import parse_tweets
 
-# One update per changed user and interval.
-COMPACTION = {"processingTime": "10 seconds"}
-TRANSFORMED = ["userID", "count", "fav", "hashtags", "name"]
-MARIO = ["id", "user_id", "screen_name", "created_at", "text", "medias", "hashtags"]
-
 
 def start_transformed(records: DataFrame, path: str, checkpoint: str, trigger: dict = COMPACTION) -> StreamingQuery:
     out = keyed_json(tweet_transformed(parse_tweets(records)), "userID", TRANSFORMED)

@@ -7,8 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# One file per second, the pace of the replay.
-PACED = {"processingTime": "1 second"}
 # Everything that is there, then stop.
 DRAIN = {"availableNow": True}
 
