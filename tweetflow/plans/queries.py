@@ -303,7 +303,8 @@ def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
         bids = records.parse_bids(topics.file_topic(spark, f"{path}/bids"), sequenced=True)
         wins = records.parse_wins(topics.file_topic(spark, f"{path}/wins"))
         live_reco.start_live_reco(
-            wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN, busy, state_partitions=_state_partitions(spark)
+            wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN, busy,
+            groups=4 * _state_partitions(spark), state_partitions=_state_partitions(spark),
         ).awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
