@@ -145,11 +145,30 @@ def test_bad_records_are_set_aside(records):
     assert [r[0] for r in both_forms(raw)] == ["3", "4"]
     assert rows(mario(raw), "id") == [("5",)]
     assert rows(source.rejected_tweets(raw), "reason") == [("incomplete",), ("incomplete",), ("malformed",)]
-    assert rows(source.rejected_tweets(raw, dated=True), "reason")[-1] == ("undated",)
+    assert rows(source.rejected_tweets(raw, feed=True), "reason")[-1] == ("undated",)
     kept = [r[0] for r in rows(source.rejected_tweets(raw), "value")]
     assert "{not json" in kept
 
 
+def test_the_feed_sets_unprintable_tweets_aside(records):
+    nameless, untagged = tweet(1, text="mario"), tweet(2, text="mario")
+    nameless["user"]["name"] = None
+    untagged["entities"]["hashtags"] = [{"text": "a"}, {}]
+    raw = records(nameless, untagged, tweet(3, text="mario", id_str=None), tweet(4, text="mario", tags="ab"))
+    assert rows(mario(raw), "id", "hashtags") == [("4", "a,b")]
+    assert both_forms(raw)[0][1] == 4
+    assert source.rejected_tweets(raw).count() == 0
+    assert rows(source.rejected_tweets(raw, feed=True), "reason") == [("incomplete",)] * 3
+
+
+def test_mentions_without_an_id_are_skipped(records):
+    broken = tweet(1, mentions=["2"])
+    broken["entities"]["user_mentions"].append({"name": "x"})
+    raw = records(broken)
+    assert both_forms(raw) == [("1", 1, 0, 0, "A", 0)]
+    assert rows(tweets.user_mentions(source.parse_tweets(raw))) == [("2", 1)]
+
+
 def test_strict_mode_fails(records):
     no_user = tweet(2)
     del no_user["user"]

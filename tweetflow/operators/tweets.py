@@ -18,6 +18,7 @@ from tweetflow.functions import (
     same_ignoring_case,
     to_int_clamped,
 )
+from tweetflow.sources.records import feed_is_complete
 
 MARIO_FIELDS = ["id_str", "timestamp_ms", "text", "lang"]
 
@@ -43,10 +44,11 @@ def user_mentions(tweets: DataFrame) -> DataFrame:
 def keyword_feed(tweets: DataFrame, lang: str = LANG, word: str = WORD) -> DataFrame:
     """Tweets of one language that contain a word, both compared without regard to case.
 
-    ``screen_name`` holds the user's display name. Tweets without a readable time are left out.
+    ``screen_name`` holds the user's display name. Tweets without a readable time or a printed field are
+    left out.
     """
     matching = tweets.where(same_ignoring_case(F.col("lang"), lang) & contains_ignoring_case(F.col("text"), word))
-    dated = matching.withColumn("ms", millis(F.col("timestamp_ms"))).where("ms IS NOT NULL")
+    dated = matching.withColumn("ms", millis(F.col("timestamp_ms"))).where(F.col("ms").isNotNull() & feed_is_complete())
     return dated.select(
         "key",
         F.col("id_str").alias("id"),

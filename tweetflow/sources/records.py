@@ -33,6 +33,12 @@ def _tweet_is_complete() -> Column:
     )
 
 
+def feed_is_complete() -> Column:
+    """Whether a tweet has what the keyword feed prints beyond the core fields, its time apart."""
+    nameless_tag = F.exists("entities.hashtags", lambda h: h["text"].isNull())
+    return F.col("id_str").isNotNull() & F.col("user.name").isNotNull() & ~nameless_tag
+
+
 def parse_tweets(records: DataFrame, also: list[str] | None = None, mode: str = "PERMISSIVE") -> DataFrame:
     """Typed tweets. ``also`` names the fields wanted beyond the core ones.
 
@@ -47,16 +53,17 @@ def parse_tweets(records: DataFrame, also: list[str] | None = None, mode: str =
     return tweets.where(complete)
 
 
-def rejected_tweets(records: DataFrame, dated: bool = False) -> DataFrame:
+def rejected_tweets(records: DataFrame, feed: bool = False) -> DataFrame:
     """The records ``parse_tweets`` leaves out, as they came, with the reason.
 
-    ``dated`` adds the records without a readable time, which queries that print a date leave out.
+    ``feed`` adds the ones that only the keyword feed leaves out, for want of a readable time or a field.
     """
-    names = TWEET_CORE + ["timestamp_ms"]
+    names = TWEET_CORE + ["id_str", "timestamp_ms"]
     opened = open_json(records, schemas.subset(schemas.TWEET, names), keep=("key", "value"))
     something_read = F.coalesce(*[F.when(F.col(name).isNotNull(), F.lit(True)) for name in names])
     reason = F.when(something_read.isNull(), F.lit("malformed")).when(~_tweet_is_complete(), F.lit("incomplete"))
-    if dated:
+    if feed:
+        reason = reason.when(~feed_is_complete(), F.lit("incomplete"))
         reason = reason.when(millis(F.col("timestamp_ms")).isNull(), F.lit("undated"))
     return opened.select("key", "value", reason.alias("reason")).where("reason IS NOT NULL")
 
