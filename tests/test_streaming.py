@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tweetflow import sinks
 from tweetflow.fixed import PACED
-from tweetflow.operators import reconcile, totals, tweets
+from tweetflow.operators import reconcile, totals
 from tweetflow.session import shared_dir
 from tweetflow.sources import records as source
 from tweetflow.streaming import feeds, live_reco, topics
