@@ -17,8 +17,8 @@ from tweetflow.llm.components import connected
 SEED = 42
 # Words hashed at once, node pairs held at once, and leaf pairs compared at once: they bound memory, not results.
 BLOCK, PAIRS, LEAF = 1 << 16, 1 << 17, 32
-# A subtree is split off until none holds more fingerprints, or to this depth.
-SUBTREE, DEEPEST = 1 << 15, 16
+# Subtrees are split until none holds more fingerprints, at least and at most to these depths.
+SUBTREE, LEAST_DEPTH, DEEPEST = 1 << 15, 3, 16
 
 
 def simhash(text: bytes | None, shingle: int) -> int:
@@ -130,7 +130,7 @@ def split_depth(classes: DataFrame) -> int:
     counts = np.zeros(1 << DEEPEST, np.int64)
     for row in classes.groupBy(prefix.alias("prefix")).count().collect():
         counts[row["prefix"]] = row["count"]
-    for depth in range(1, DEEPEST):
+    for depth in range(LEAST_DEPTH, DEEPEST):
         if counts.reshape(1 << depth, -1).sum(axis=1).max() <= SUBTREE:
             return depth
     return DEEPEST
