@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: More benchmark text is refused: every task holds it.
 MOST_BENCHMARK_BYTES = 1 << 28
 # Words of a shard, that is of one suffix array, and places looked at together: they bound memory.
-SHARD_WORDS, PLACES = 1 << 21, 1 << 20
+SHARD_WORDS, PLACES = 1 << 19, 1 << 18
 # ASCII letters in lower case, digits, and every byte above ASCII; all others part words.
 LETTERS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -36,6 +36,11 @@ class Tests:
     start: np.ndarray
     width: np.ndarray
 
+    def numbers(self, text: bytes | None) -> np.ndarray:
+        """The text's words as numbers, 0 for those no item has."""
+        words = words_of(text)
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, len(words))
+
     @classmethod
     def of(cls, items: list[tuple[str, bytes]], window: int) -> Tests:
         names = sorted({name for name, _ in items}, key=lambda name: name.encode())
@@ -97,13 +102,13 @@ def search(words: np.ndarray, array: np.ndarray, tests: Tests) -> tuple[np.ndarr
     return low, high
 
 
-def examine_shard(texts: list[list[bytes]], tests: Tests) -> list[tuple[int, list[str], list[dict]]]:
-    """For each document (hit words, names of the items that occur, longest verbatim matches)."""
+def examine_shard(texts: list[np.ndarray], tests: Tests) -> list[tuple[int, list[str], list[dict]]]:
+    """For each document, as word numbers, (hit words, names of the items that occur, longest verbatim matches)."""
     lengths = np.array([len(text) for text in texts], np.int64)
     first = np.cumsum(lengths + 1) - lengths - 1
     words = np.zeros(int(lengths.sum()) + len(texts), np.int64)
     for at, text in zip(first, texts):
-        words[at : at + len(text)] = np.fromiter(map(tests.vocabulary.get, text, repeat(0)), np.int64, len(text))
+        words[at : at + len(text)] = text
     # A match lies within a run of words the benchmark knows: shorter runs hold none and are left out of the array.
     nothing = np.flatnonzero(words == 0)
     places = np.arange(len(words))
@@ -181,7 +186,7 @@ def examine(docs: DataFrame, benchmark: DataFrame, carry: list[str], window: int
             texts = row.field("text").cast(pa.binary())
             found, counts, shard, held = [], [], [], 0
             for text in texts:
-                shard.append(words_of(text.as_py()))
+                shard.append(tests.value.numbers(text.as_py()))
                 counts.append(len(shard[-1]))
                 held += counts[-1]
                 if held > SHARD_WORDS:
