@@ -121,6 +121,8 @@ def examine_shard(texts: list[np.ndarray], tests: Tests) -> list[tuple[int, list
     low, high = search(words, array, tests)
     edges, matched = np.zeros(len(words) + 1, np.int64), []
     windows = np.flatnonzero(high > low)
+    if not len(windows):
+        return out
     many = (high - low)[windows]
     for part in np.split(windows, np.flatnonzero(np.diff(np.cumsum(many) // PLACES)) + 1):
         each = (high - low)[part]
@@ -129,8 +131,6 @@ def examine_shard(texts: list[np.ndarray], tests: Tests) -> list[tuple[int, list
         np.add.at(edges, at, 1)
         np.add.at(edges, at + tests.width[window], -1)
         matched.append((np.searchsorted(first, at, side="right") - 1, window, at))
-    if not matched:
-        return out
     hit = np.r_[0, np.cumsum(np.cumsum(edges[:-1]) > 0)]
     doc, window, at = (np.concatenate(column) for column in zip(*matched))
     # Windows that follow each other in the item and in the document are one match.
