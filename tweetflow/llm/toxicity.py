@@ -19,7 +19,9 @@ TOKEN = re.compile(r"[^\W\d_]+")
 MOST_TOKENS, LEAST_DOCS, LEAST_Z = 100_000, 3, 3.0
 # The prior gives every token half a document, and so many more in proportion to its documents; then the
 # weight of a token of no known odds, and the largest weight.
-PRIOR, DRIFT, STRONGEST = 20.0, 0.15, 8.0
+PRIOR, DRIFT, STRONGEST = 20.0, 0.15, 12.0
+# A token that comes again within so many tokens counts once: the odds are of documents that have it.
+AGAIN = 50
 # Distinct tokens a task counts before it passes them on.
 HELD = 1 << 18
 EULER = 0.5772156649015329
@@ -36,7 +38,7 @@ class Gumbel:
 
     @classmethod
     def fitted(cls, mean: float | None, deviation: float | None) -> Gumbel:
-        scale = max(0.5, (deviation or 0.0) * math.sqrt(6) / math.pi)
+        scale = max(0.25, (deviation or 0.0) * math.sqrt(6) / math.pi)
         return cls((mean or 0.0) - EULER * scale, scale)
 
     def log_density(self, x: float) -> float:
@@ -50,6 +52,8 @@ class Gumbel:
 
 @dataclass(frozen=True)
 class Model:
+    """Weights of tokens, and how the logarithm of 1 and the best segment is spread in clean and toxic documents."""
+
     weights: dict[str, float]
     clean: Gumbel
     toxic: Gumbel
@@ -57,7 +61,7 @@ class Model:
 
     def score(self, best: float) -> float:
         """The chance that a document with this best segment is toxic; below the clean mean as at it."""
-        x = max(best, self.clean.place + EULER * self.clean.scale)
+        x = max(math.log1p(best), self.clean.place + EULER * self.clean.scale)
         odds = self.toxic.log_density(x) - self.clean.log_density(x) + math.log(self.share / (1 - self.share))
         return 1 / (1 + math.exp(-max(min(odds, 700.0), -700.0)))
 
@@ -93,7 +97,13 @@ def segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def weigh(words: list[str], weights: dict[str, float]) -> np.ndarray:
-    return np.fromiter((weights.get(word, -DRIFT) for word in words), np.float64, len(words))
+    found = np.fromiter((weights.get(word, -DRIFT) for word in words), np.float64, len(words))
+    last: dict[str, int] = {}
+    for at in np.flatnonzero(found > 0).tolist():
+        if at - last.get(words[at], -AGAIN) < AGAIN:
+            found[at] = -DRIFT
+        last[words[at]] = at
+    return found
 
 
 def token_documents(rows: DataFrame) -> DataFrame:
@@ -177,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         row["toxic"]: row
         for row in labelled(held_back)
         .select(F.col("toxic").cast("int").alias("toxic"), best_segment(F.col("text"), weights).alias("best"))
-        .groupBy("toxic").agg(F.count("*").alias("rows"), F.avg("best").alias("mean"), F.stddev_pop("best").alias("deviation"))
+        .groupBy("toxic").agg(F.count("*").alias("rows"), F.avg(F.log1p("best")).alias("mean"), F.stddev_pop(F.log1p("best")).alias("deviation"))
         .collect()
     }
     if not {0, 1} <= spread.keys():
@@ -199,7 +209,7 @@ def scored(text: Column, model: Model | None, spark, significance: float = 1e-3)
     shared = spark.sparkContext.broadcast(model)
 
     def passages(text: str, found: list[tuple[int, int, float]], model: Model) -> list[dict]:
-        strong = [segment for segment in found if model.clean.above(segment[2]) <= significance]
+        strong = [segment for segment in found if model.clean.above(math.log1p(segment[2])) <= significance]
         if not strong:
             return []
         places = [match.span() for match in TOKEN.finditer(text.lower())]
