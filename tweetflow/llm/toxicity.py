@@ -170,6 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """
     spark = docs.sparkSession
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # Labels grow with the documents, so the two are always shuffled; labels are the side that is held in memory.
+    known = known.hint("shuffle_hash")
     held_back = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(4)) == 0
 
     def labelled(which: Column) -> DataFrame:
