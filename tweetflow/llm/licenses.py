@@ -33,9 +33,15 @@ def canonical(text: Column) -> Column:
     text = F.lower(F.coalesce(text, F.lit("")))
     text = F.regexp_replace(text, r"(?m)^[^\n\p{L}(©]*(copyright|\(c\)|©)[^\n]*$", " ")
     text = F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))
-    for other, spelling in SPELLINGS.items():
-        text = F.regexp_replace(text, rf"(^| ){other}(?= |$)", f"$1{spelling}")
-    return text
+    any_other = rf"(^| )({'|'.join(SPELLINGS)})( |$)"
+
+    def respelled(text: Column) -> Column:
+        for other, spelling in SPELLINGS.items():
+            text = F.regexp_replace(text, rf"(^| ){other}(?= |$)", f"$1{spelling}")
+        return text
+
+    # Few texts have another spelling. As a lambda's argument the text is computed once.
+    return F.get(F.transform(F.array(text), lambda t: F.when(t.rlike(any_other), respelled(t)).otherwise(t)), F.lit(0))
 
 
 def known_digests(spark, notices: dict[str, list[str]] = NOTICES) -> DataFrame:
