@@ -1,0 +1,102 @@
+"""Plain Python versions of the operators, written from the contracts."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import xxhash
+
+CONTRACT_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower_ascii(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def simhash(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower_ascii(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def components(values, near):
+    """The least index that links reach, for each value."""
+    label = list(range(len(values)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(values)):
+        for j in range(i):
+            if near(values[i], values[j]):
+                a, b = find(i), find(j)
+                label[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(values))]
+
+
+def contamination(texts, items, window=10):
+    """For each text (words, hit words, sorted names of items that occur)."""
+    windows = {}
+    for name, text in items:
+        words = CONTRACT_WORD.findall(lower_ascii(text))
+        wide = min(window, len(words))
+        for i in range(len(words) - wide + 1 if words else 0):
+            windows.setdefault(tuple(words[i : i + wide]), set()).add(str(name))
+    out = []
+    for text in texts:
+        words = CONTRACT_WORD.findall(lower_ascii(text))
+        hit, names = set(), set()
+        for wide in {len(w) for w in windows}:
+            for i in range(len(words) - wide + 1):
+                found = windows.get(tuple(words[i : i + wide]))
+                if found:
+                    hit.update(range(i, i + wide))
+                    names |= found
+        out.append((len(words), len(hit), sorted(names)))
+    return out
+
+
+def edited(text, following):
+    third = len(text) // 3
+    return text[: len(text) - third] + following[:third]
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def phrases(symbols, sample):
+    """Longest matches, from the left, that the symbols break into."""
+    count, at = 0, 0
+    while at < len(symbols):
+        length = 0
+        while at + length < len(symbols) and symbols[at : at + length + 1] in sample:
+            length += 1
+        at += max(length, 1)
+        count += 1
+    return count
+
+
+def maximal_segments(weights):
+    """All maximal scoring segments by their definition: the best one, then those on its left and right."""
+
+    def within(low, high):
+        best = None
+        for i in range(low, high):
+            total = 0.0
+            for j in range(i, high):
+                total += weights[j]
+                # Of segments of one score the shortest: no part of a maximal one scores as much.
+                if total > 0 and (best is None or (total, i - j - 1) > (best[2], best[0] - best[1])):
+                    best = (i, j + 1, total)
+        if best is None:
+            return []
+        return within(low, best[0]) + [best] + within(best[1], high)
+
+    return within(0, len(weights))

@@ -59,8 +59,8 @@ class Automaton:
             self.bits.append(np.log2(len(symbols) + 2))
             offset += len(table)
         self.table = np.concatenate(tables)
-        restart = self.table[self.roots].T
-        self.restart = np.where(restart == 0, np.array(self.roots, np.int32), restart)
+        # A symbol that is not in a sample is a phrase of its own: from state 0 every symbol starts another.
+        self.restart = np.ascontiguousarray(self.table[self.roots].T)
         self.flat = self.table.ravel()
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
@@ -114,8 +114,8 @@ class Automaton:
             for lane, i in enumerate(part):
                 matrix[: lengths[lane], lane] = blocks[i]
             active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-            state = np.tile(np.array(self.roots, np.int32), (many, 1))
-            found = np.ones_like(state)
+            state = np.zeros((many, len(self.langs)), np.int32)
+            found = np.zeros_like(state)
             for step in range(longest):
                 n = active[step]
                 symbols = matrix[step, :n].astype(np.int32)
