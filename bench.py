@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from tweetflow.plans.queries import queries
@@ -35,7 +36,9 @@ def main() -> None:
     os.dup2(2, 1)
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus, runs = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_RUNS", "3"))
-    spark, registered = local_session(cpus), queries()
+    folder = tempfile.mkdtemp(prefix="run-")
+    places = {"spark__checkpoint__dir": f"{folder}/shared", "spark__sql__warehouse__dir": f"{folder}/warehouse"}
+    spark, registered = local_session(cpus, **places), queries()
     took = {}
     for name in BATCH:
         seconds(registered[name], spark, sf_dir)

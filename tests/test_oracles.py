@@ -5,10 +5,12 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, rows_of
+from tweetflow.plans import oracles
+from tweetflow.plans import queries as registered
 
 from conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registered.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,10 @@ def test_query(spark, db, name):
     assert got[2] == expected[2]
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 15
 

@@ -34,7 +34,6 @@ def test_shuffles_of_tweet_queries(spark, query, after):
 
 
 def test_shuffles_of_bid_queries(spark):
-    assert exchanges(plan(q.reco_asof(spark, SF_DIR))) == 1
     assert exchanges(plan(q.tbid_latest_by_key(spark, SF_DIR))) == 1
     assert exchanges(plan(q.bid_proper_key(spark, SF_DIR))) == 0
 

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows, tweet
 from pyspark.sql import functions as F
 
-from tweetflow import functions
+from tweetflow import functions, schemas
 from tweetflow.operators import changelog, reconcile, totals, tweets
 from tweetflow.sources import records as source
 
@@ -273,3 +273,17 @@ def test_invariants_on_the_given_tables(spark):
     parsed = q._tweets(spark, SF_DIR)
     shuffled = parsed.repartition(7).sortWithinPartitions(F.col("id").desc())
     assert rows(totals.totals_from_deltas(totals.user_deltas(shuffled))) == rows(q.reconciliation_union(spark, SF_DIR))
+
+
+def test_malformed_bids_wins_and_sql_tweets_are_set_aside(records):
+    raw = records("{broken", {"timestamp": 1, "id": "a", "auctid": "a", "winPrice": 1.0}, {"unknown": 1})
+    for parse, schema in ((source.parse_bids, schemas.BID), (source.parse_wins, schemas.WIN), (source.parse_sql_tweets, schemas.SQL_TWEET)):
+        rejected = rows(source.rejected_records(raw, schema), "value")
+        assert parse(raw).count() + len(rejected) == 3 and ("{broken",) in rejected
+
+
+def test_times_beyond_all_days_are_no_times(spark):
+    texts = ["-9223372036854775808", "9223372036854775807", "253402300799999", "253402300800000", "-1", "x", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    day = functions.epoch_ms_to_date(functions.millis(F.col("t")))
+    assert [r[0] for r in frame.select(day).collect()] == [None, None, "9999-12-31", None, "1969-12-31", None, None]

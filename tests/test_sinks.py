@@ -92,6 +92,13 @@ def test_named_tables_are_replaced(spark):
     assert spark.table("named_rows").columns == ["n"] and spark.table("named_rows").count() == 5
     sinks.create_table_as(spark.range(2), "named_rows", f"{path}/b")
     assert spark.table("named_rows").count() == 2
+    broken = spark.range(2).selectExpr("raise_error('no')")
+    with pytest.raises(Exception, match="no"):
+        sinks.create_table_as(broken, "named_rows", f"{path}/c")
+    assert spark.table("named_rows").count() == 2
+    stored = sinks.store_stream_as(spark.range(500).selectExpr("id AS k", "id * 2 AS v"), "stored_stream", f"{path}/s", "k")
+    assert spark.table("stored_stream").columns == ["k", "v"] and stored.count() == 500
+    assert spark.read.parquet(f"{path}/s").select("partition").distinct().count() == 10
     sinks.create_stream_as(spark.range(2), "named_query")
     sinks.create_stream_as(spark.range(4), "named_query")
     assert spark.table("named_query").count() == 4
@@ -109,7 +116,7 @@ def test_typed_records_must_fit_the_declared_schema(spark):
 
 def test_avro_and_kafka_need_their_packages(spark):
     fields = {f["name"]: f["type"] for f in json.loads(schemas.USER_RECORD_AVRO)["fields"]}
-    assert fields == {"userID": "string", "count": "int", "fav": "int", "hashtags": "int", "name": "string", "mentioned": "int"}
+    assert fields == {"userID": "string", "count": "int", "fav": "int", "hashtags": "int", "name": ["null", "string"], "mentioned": "int"}
     typed = tweets.user_records(users(spark, 3))
     with pytest.raises(Exception, match="(?i)avro"):
         tweets.avro_records(typed).collect()
@@ -117,3 +124,11 @@ def test_avro_and_kafka_need_their_packages(spark):
         sinks.write_files(typed, shared_dir(spark, "avro"), fmt="avro")
     with pytest.raises(Exception, match="(?i)kafka"):
         sinks.kafka_writer("localhost:9092", "tweets-reconciliation")(typed, 0)
+
+
+def test_every_core_writes_the_index(spark):
+    """The number of buckets bounds no writers: each task writes the buckets it has keys of."""
+    path = shared_dir(spark, "writers")
+    sinks.index_writer(path, buckets=2)(users(spark, 400).repartition(4), 0)
+    assert spark.read.parquet(path).select("_metadata.file_path").distinct().count() == 4 * 2
+    assert sinks.read_index(spark, path).count() == 400

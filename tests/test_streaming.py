@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tweetflow import sinks
 from tweetflow.fixed import PACED
 from tweetflow.operators import reconcile, totals
-from tweetflow.session import shared_dir
+from tweetflow.session import settings, shared_dir
 from tweetflow.sources import records as source
 from tweetflow.streaming import feeds, live_reco, topics
 
@@ -109,7 +109,28 @@ def test_start_position(spark):
 
     assert read("earliest") == [("1",), ("2",)]
     assert read(now) == [("2",)]
-    assert read("latest") == []
+
+
+def test_latest_counts_from_the_first_start(spark):
+    """A file that arrives between two runs is read, once."""
+    path = shared_dir(spark, "latest")
+
+    def run():
+        lines = topics.file_topic(spark, f"{path}/in", "latest", started=f"{path}/started")
+        ids = lines.select(F.get_json_object("value", "$.id_str").alias("id"))
+        sinks.append_stream(ids, f"{path}/rows", f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+        return rows(spark.read.schema("id string").parquet(f"{path}/rows"))
+
+    publish(spark, f"{path}/in", tweet(1))
+    time.sleep(1.1)
+    assert run() == []
+    time.sleep(1.1)
+    publish(spark, f"{path}/in", tweet(2))
+    assert run() == [("2",)]
+    publish(spark, f"{path}/in", tweet(3))
+    assert run() == [("2",), ("3",)]
+    with pytest.raises(ValueError):
+        topics.file_topic(spark, f"{path}/in", "latest")
 
 
 def test_kafka_branch_needs_its_package(spark):
@@ -129,11 +150,20 @@ def test_fan_out_on_one_topic(spark):
     assert [(r["key"], json.loads(r["value"])["id"]) for r in feed] == [(None, "1")]
 
 
-def test_console_writer(spark, capfd):
+def test_console_writer_prints_every_row(spark, tmp_path):
     path = shared_dir(spark, "console")
+    lines = str(tmp_path / "lines")
+
+    def line(text):
+        with open(lines, "a") as out:
+            out.write(text + "\n")
+
     publish(spark, f"{path}/in", tweet(1, user="4711"))
-    reconcile_stream(spark, path, [sinks.console_writer()])
-    assert "4711" in capfd.readouterr().out
+    more = [tweet(i, user=str(5000 + i)) for i in range(2, 40)]
+    publish(spark, f"{path}/in", *more)
+    reconcile_stream(spark, path, [sinks.console_writer(line)])
+    printed = open(lines).read()
+    assert all(f"'{user}'" in printed for user in [4711, *range(5002, 5040)])
 
 
 def bid(id, ts, cp, seq=0):
@@ -144,25 +174,32 @@ def win(id, ts, price):
     return {"timestamp": ts, "auctid": id, "winPrice": price}
 
 
-def live(spark, path, **layout):
+def live(spark, path):
     bids = source.parse_bids(topics.file_topic(spark, f"{path}/bids"), sequenced=True)
     wins = source.parse_wins(topics.file_topic(spark, f"{path}/wins"))
-    live_reco.start_live_reco(wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN, **layout).awaitTermination()
-    return rows(spark.read.parquet(f"{path}/out"))
+    live_reco.start_live_reco(wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+    return rows(live_reco.read_answers(spark, f"{path}/out"))
 
 
-@pytest.mark.parametrize("layout", [{"groups": 1}, {"groups": 8, "lanes": 3, "busy": ["b", "a"]}])
-def test_live_reco_sees_the_bids_that_have_arrived(spark, layout):
+@pytest.mark.parametrize("whole_every", [1, 2, 16])
+def test_live_reco_sees_the_bids_that_have_arrived(spark, monkeypatch, whole_every):
+    """However often all bids are written, and whatever the number of partitions at a restart."""
+    monkeypatch.setattr(live_reco, "WHOLE_EVERY", whole_every)
     path = shared_dir(spark, "live")
     publish(spark, f"{path}/bids", bid("a", 10, 0.1), bid("b", 10, 0.2), bid("b", 10, 0.3, seq=1), bid("n", 10, 0.4), bid("n", 11, None))
     publish(spark, f"{path}/wins", win("a", 5, 1.0), win("b", 10, 2.0), win("c", 50, 3.0), win("n", 12, 4.0), win(None, 12, 9.0))
     first = [("a", 1.0, None), ("b", 2.0, 0.3), ("c", 3.0, None), ("n", 4.0, None)]
-    assert live(spark, path, **layout) == first
+    assert live(spark, path) == first
     # A later bid changes no earlier answer; a later win sees it even when its time is earlier.
     publish(spark, f"{path}/bids", bid("c", 40, 0.7))
     publish(spark, f"{path}/wins", win("a", 30, 5.0), win("a", 6, 6.0), win("b", 9, 7.0), win("n", 20, 8.0), win("c", 41, 10.0))
     more = [("a", 5.0, 0.1), ("a", 6.0, 0.1), ("b", 7.0, 0.3), ("n", 8.0, None), ("c", 10.0, 0.7)]
-    assert live(spark, path, **layout) == sorted(first + more, key=repr)
+    with settings(spark, {"spark.sql.shuffle.partitions": "7"}):
+        assert live(spark, path) == sorted(first + more, key=repr)
+    for price in (11.0, 12.0):
+        publish(spark, f"{path}/wins", win("n", 1, price), win("b", 1, price))
+        more += [("n", price, None), ("b", price, 0.3)]
+        assert live(spark, path) == sorted(first + more, key=repr)
 
 
 def test_live_reco_of_a_busy_auction_equals_the_batch_form(spark):
@@ -172,7 +209,7 @@ def test_live_reco_of_a_busy_auction_equals_the_batch_form(spark):
     for low, high in ((0, 20), (20, 45), (45, 99)):
         publish(spark, f"{path}/bids", *[b for b in bids if low <= b["timestamp"] < high])
         publish(spark, f"{path}/wins", *[w for w in wins if low <= w["timestamp"] < high])
-        got = live(spark, path, groups=5, lanes=4, busy=["hot"])
+        got = live(spark, path)
     lines = [spark.read.text(f"{path}/{side}").selectExpr("CAST(NULL AS string) AS key", "value") for side in ("wins", "bids")]
     assert got == rows(reconcile.reco_asof(source.parse_wins(lines[0]), source.parse_bids(lines[1], sequenced=True)))
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
+# Times are read up to the year 9999, and as far back from 1970.
+LAST_MS = 253_402_300_799_999
 INT_MAX = 2**31 - 1
 INT_MIN = -(2**31)
 
@@ -20,12 +22,14 @@ def epoch_ms(name: str) -> Column:
 
 def floor_div(value: Column, divisor: int) -> Column:
     """Whole-number division that rounds down."""
-    return ((value - F.pmod(value, F.lit(divisor))) / F.lit(divisor)).cast("bigint")
+    down = F.when((value < 0) & (value % divisor != 0), 1).otherwise(0)
+    return F.call_function("div", value, F.lit(divisor).cast("bigint")) - down
 
 
 def millis(text: Column) -> Column:
-    """Quoted epoch millis as a number; NULL where the text is no number."""
-    return text.try_cast("bigint")
+    """Quoted epoch millis as a number; NULL where the text is no number, or one beyond the days that dates can hold."""
+    number = text.try_cast("bigint")
+    return F.when(F.abs(number.cast("decimal(20, 0)")) <= LAST_MS, number)
 
 
 def epoch_ms_to_date(ms: Column) -> Column:

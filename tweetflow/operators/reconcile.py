@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tweetflow.operators.skew import HEAVY_ROWS, heavy_keys, is_heavy, join_latest
 from tweetflow.operators.totals import latest_by_key
 from tweetflow.schemas import BID_ORDER
 
-# Heavy auctions are cut into time slices of this many milliseconds. After one row per instant is
-# made of an auction's bids and wins, a slice holds at most this many rows.
+# An auction is cut into time slices of this many milliseconds. After one row per instant is made of its
+# bids and wins, a slice holds at most this many rows.
 SLICE_MS = 3_600_000
 
 
@@ -29,16 +28,13 @@ def bid_table(bids: DataFrame) -> DataFrame:
     return latest_by_key(ordered, ["id"], BID_ORDER).select("id", "cP")
 
 
-def reco(wins: DataFrame, table: DataFrame, heavy: list | None = None) -> DataFrame:
+def reco(wins: DataFrame, table: DataFrame) -> DataFrame:
     """Every win with the last bid of its auction, NULL where there is none.
 
-    ``heavy`` names auctions with very many wins (``heavy_keys``); by default they are looked for in
-    one job over the win keys. A streaming win side takes the plain join with the table.
+    The table has one row per auction, so adaptive execution may split the wins of a busy one.
     """
-    sides = wins.select("auctid", "winPrice"), table.withColumnRenamed("id", "auctid")
-    if heavy is None:
-        heavy = [] if wins.isStreaming else heavy_keys(wins, "auctid")
-    return join_latest(*sides, "auctid", heavy).select("auctid", "winPrice", "cP")
+    bids = table.withColumnRenamed("id", "auctid")
+    return wins.select("auctid", "winPrice").where("auctid IS NOT NULL").join(bids, "auctid", "left").select("auctid", "winPrice", "cP")
 
 
 def reco_valid(reconciled: DataFrame) -> DataFrame:
@@ -60,46 +56,28 @@ def tagged_events(wins: DataFrame, bids: DataFrame) -> DataFrame:
     return events.withColumn("timestamp", F.coalesce("timestamp", beginning))
 
 
-def reco_asof(wins: DataFrame, bids: DataFrame, min_rows: int = HEAVY_ROWS, slice_ms: int = SLICE_MS) -> DataFrame:
-    """Every win with the last bid placed at or before it.
-
-    Bids and wins of an auction meet in one window, which costs one shuffle. Auctions that hold a
-    large share of all rows (one job looks for them) are answered in time slices instead.
-    """
-    events = tagged_events(wins, bids)
-    heavy = heavy_keys(events, "id", min_rows)
-    if not heavy:
-        return _asof_by_auction(events)
-    light = _asof_by_auction(events.where(~is_heavy("id", heavy)))
-    return light.unionByName(_asof_by_slice(events.where(is_heavy("id", heavy)), min_rows, slice_ms))
-
-
-def _asof_by_auction(events: DataFrame) -> DataFrame:
-    so_far = (
-        Window.partitionBy("id").orderBy("timestamp", "side", *BID_ORDER[1:])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # The struct keeps a bid whose probability is NULL as the current one.
-    bid = F.last(F.when(F.col("side") == 0, F.struct("cP")), ignorenulls=True).over(so_far)
-    return events.withColumn("bid", bid).where("side = 1").select(F.col("id").alias("auctid"), "winPrice", F.col("bid.cP").alias("cP"))
+def reco_asof(wins: DataFrame, bids: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
+    """Every win with the last bid placed at or before it."""
+    return answer_events(tagged_events(wins, bids), slice_ms)
 
 
-def _asof_by_slice(events: DataFrame, min_rows: int, slice_ms: int) -> DataFrame:
-    """The same answer for few auctions of any size.
+def answer_events(events: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
+    """The wins among tagged events, each with its auction's last bid up to then.
 
-    Wins of one instant share their answer, and of the bids of one instant the last decides, so bids
-    and wins shrink to one row per instant before they are shuffled. The running bid is then taken
-    inside each slice, and the last bid before the slice fills what is still open. Last, the answers
-    go back to the wins, where an instant with very many wins is a heavy key in turn.
+    One plan for auctions of any size. Wins of one instant share their answer, and of the bids of one instant the last
+    decides, so events shrink to one row per auction and instant before they are shuffled. The running bid is taken
+    inside each slice of time, and the last bid before the slice, from one row per auction and slice, fills what is
+    still open. Last, the answers go back to the wins, one row per instant, so that adaptive execution may split the
+    wins of a busy one.
     """
-    at = F.concat_ws(":", "timestamp", "id").alias("at")
     bid = F.when(F.col("side") == 0, F.struct(*BID_ORDER, F.struct("cP").alias("bid")))
     instants = (
         events.groupBy("id", "timestamp").agg(F.max(bid).alias("last"), F.max("side").alias("asked"))
-        .withColumn("slice", F.floor(F.col("timestamp") / slice_ms))
+        # Never NULL, and said so: a filter on it would tell the two branches apart.
+        .withColumn("slice", F.coalesce(F.floor(F.col("timestamp") / slice_ms), F.lit(0)))
     )
     in_slice = Window.partitionBy("id", "slice").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = instants.withColumn("last", F.last("last", ignorenulls=True).over(in_slice)).where("asked = 1")
+    running = instants.withColumn("so_far", F.last("last", ignorenulls=True).over(in_slice)).where("asked = 1")
     earlier = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # Only slices with wins need an opening bid. Asking for it also keeps both branches alike, so that
     # they share one shuffle of the instants.
@@ -108,7 +86,6 @@ def _asof_by_slice(events: DataFrame, min_rows: int, slice_ms: int) -> DataFrame
         .select("id", "slice", "asked", F.last("last", ignorenulls=True).over(earlier).alias("opening"))
         .where("asked = 1").drop("asked")
     )
-    answers = running.join(opening, ["id", "slice"]).select(at, F.coalesce("last", "opening")["bid"]["cP"].alias("cP"))
-    asked = events.where("side = 1").select("id", "winPrice", at)
-    answered = join_latest(asked, answers, "at", heavy_keys(asked, "at", min_rows))
-    return answered.select(F.col("id").alias("auctid"), "winPrice", "cP")
+    answers = running.join(opening, ["id", "slice"]).select("id", "timestamp", F.coalesce("so_far", "opening")["bid"]["cP"].alias("cP"))
+    asked = events.where("side = 1").select("id", "timestamp", "winPrice")
+    return asked.join(answers, ["id", "timestamp"], "left").select(F.col("id").alias("auctid"), "winPrice", "cP")

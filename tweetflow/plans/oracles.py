@@ -127,6 +127,12 @@ def oracle_sql() -> dict[str, str]:
     count = _TWEETS + 'SELECT uid AS userid, count(*) AS "count" FROM tweets GROUP BY uid'
     names = "SELECT uid, screen_name, row_number() OVER (PARTITION BY uid ORDER BY screen_name DESC) AS r FROM tweets"
     int_max = 2147483647
+    typed = (
+        _TWEETS
+        + 'SELECT "userID", '
+        + ", ".join(f'CAST(least("{c}", {int_max}) AS INTEGER) AS "{c}"' for c in ("count", "fav", "hashtags", "mentioned"))
+        + ", name FROM totals"
+    )
     return {
         "tweet_transformed": _TWEETS + "SELECT * FROM transformed",
         "user_mentions": _TWEETS + 'SELECT uid AS "userID", CAST(1 AS BIGINT) AS mentioned FROM mentions',
@@ -135,15 +141,12 @@ def oracle_sql() -> dict[str, str]:
         "reconciliation": _TOTALS,
         "reconciliation_union": _TOTALS,
         "mario_fr": _TWEETS + "SELECT * FROM mario",
-        "avro_user_records": _TWEETS
-        + 'SELECT "userID", '
-        + ", ".join(f'CAST(least("{c}", {int_max}) AS INTEGER) AS "{c}"' for c in ("count", "fav", "hashtags", "mentioned"))
-        + ", name FROM totals",
+        "avro_user_records": typed,
         "keyed_json_transformed": _keyed("transformed", '"userID"', _TOTAL_COLUMNS[:-1]),
         "keyed_json_reconciliation": _keyed("totals", '"userID"', _TOTAL_COLUMNS),
         "keyed_json_mario": _keyed("mario", "CAST(NULL AS VARCHAR)", _MARIO_COLUMNS),
         "keyed_json_roundtrip": _TOTALS,
-        "file_sink_roundtrip": _TOTALS,
+        "file_sink_roundtrip": typed,
         "user_lookup": _TOTALS + " WHERE \"userID\" = '7'",
         "changelog_by_interval": _CHANGELOG,
         "changelog_to_table": _TOTALS,
@@ -177,4 +180,11 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT 'transformed' AS branch, count(*) AS n FROM transformed UNION ALL
              SELECT 'mario', count(*) FROM mario UNION ALL SELECT 'reconciliation', count(*) FROM totals""",
         "stream_reco": _ASOF,
+        "stream_transformed": _keyed("transformed", '"userID"', _TOTAL_COLUMNS[:-1]),
+        "stream_mario": _keyed("mario", "CAST(NULL AS VARCHAR)", _MARIO_COLUMNS),
+        "stream_typed": typed,
+        "rejected_by_reason": """
+            SELECT CASE WHEN event_id % 97 <> 0 THEN CAST(event_id AS VARCHAR) END AS id_str,
+              CASE WHEN event_id % 97 = 0 THEN 'malformed' ELSE 'incomplete' END AS reason
+            FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0""",
     }

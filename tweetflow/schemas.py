@@ -52,13 +52,16 @@ USER_TOTALS = _struct(userID=_TEXT, count=_LONG, fav=_LONG, hashtags=_LONG, name
 # The typed user record: the counters are 32-bit.
 USER_RECORD = _struct(userID=_TEXT, count=_INT, fav=_INT, hashtags=_INT, name=_TEXT, mentioned=_INT)
 
-# The same record as an Avro schema.
+# The same record as an Avro schema; a user's first tweet may have no name.
 USER_RECORD_AVRO = json.dumps(
     {
         "type": "record",
         "name": "user",
         "fields": [
-            {"name": field.name, "type": "int" if field.dataType == _INT else "string"} for field in USER_RECORD.fields
+            {"name": field.name, "type": "int" if field.dataType == _INT else "string"}
+            if field.name != "name"
+            else {"name": "name", "type": ["null", "string"], "default": None}
+            for field in USER_RECORD.fields
         ],
     }
 )

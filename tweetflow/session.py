@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -42,13 +41,9 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> Spa
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the one the cluster names for checkpoints.
 
-    Only a local session may fall back to the machine's own temporary folder.
+    Where it names none, the folder lies in the warehouse, which every executor reaches as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
     return f"{base.rstrip('/')}/tweetflow/{label}-{uuid.uuid4().hex}"
 
 

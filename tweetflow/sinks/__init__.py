@@ -6,9 +6,10 @@ when the batch is run again, so a restart neither loses nor doubles rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -107,12 +108,13 @@ def typed_writer(path: str, fmt: str = "parquet") -> BatchWriter:
 def index_writer(path: str, key: str = "userID", buckets: int = INDEX_BUCKETS) -> BatchWriter:
     """Upserts each micro-batch into an index by key: the row of the latest batch counts.
 
-    Rows are laid out by bucket of the key and sorted by key, so that a lookup opens one bucket. Keep the
-    number of buckets for the life of the index, and choose it by the number of keys.
+    Rows are laid out by bucket of the key and sorted by key, so that a lookup opens one bucket. Every task writes
+    into the buckets it has keys of, so the number of buckets bounds no writers. Keep that number for the life of
+    the index, and choose it by the number of keys.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("bucket", _bucket(key, buckets)).repartition(buckets, "bucket").sortWithinPartitions("bucket", key)
+        rows = batch.withColumn("bucket", _bucket(key, buckets)).sortWithinPartitions("bucket", key)
         rows.write.mode("overwrite").partitionBy("bucket").parquet(_batch_folder(path, batch_id))
 
     return write
@@ -139,11 +141,15 @@ def compact_index(spark: SparkSession, path: str, target: str, batch_id: int) ->
     index_writer(target)(read_index(spark, path), batch_id)
 
 
-def console_writer(rows: int = 20) -> BatchWriter:
-    """Prints the first rows of each micro-batch."""
+def console_writer(line: Callable[[str], None] = print) -> BatchWriter:
+    """Prints every row of each micro-batch where it is, on the executors."""
+
+    def show(rows: Iterator[Row]) -> None:
+        for row in rows:
+            line(str(row.asDict()))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.show(rows, truncate=False)
+        batch.foreachPartition(show)
 
     return write
 
@@ -154,9 +160,18 @@ def create_stream_as(rows: DataFrame, name: str) -> None:
 
 
 def create_table_as(rows: DataFrame, name: str, path: str) -> None:
-    """Store a query's rows as a named table, replacing an earlier one."""
+    """Store a query's rows as a named table below a path. An earlier table is replaced once all rows are written."""
+    place = f"{path}/{uuid.uuid4().hex}"
+    rows.write.parquet(place)
     rows.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    rows.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    rows.sparkSession.catalog.createTable(name, place, "parquet")
+
+
+def store_stream_as(rows: DataFrame, name: str, path: str, key: str, partitions: int = PARTITIONS) -> DataFrame:
+    """Store a query as a named stream partitioned by a key, and read it back under its name."""
+    rows.withColumn("partition", partition_of(key, partitions)).write.mode("errorifexists").partitionBy("partition").parquet(path)
+    rows.sparkSession.read.parquet(path).drop("partition").createOrReplaceTempView(name)
+    return rows.sparkSession.table(name)
 
 
 def send_stream(records: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict) -> StreamingQuery:

@@ -23,6 +23,17 @@ def open_json(records: DataFrame, schema: T.StructType, mode: str = "PERMISSIVE"
     return records.select(*keep, F.inline(F.array(parsed)))
 
 
+def _is_read(schema: T.StructType) -> Column:
+    """Whether a text held any of the fields; a malformed one holds none."""
+    return F.coalesce(*[F.when(F.col(name).isNotNull(), F.lit(True)) for name in schema.names]).isNotNull()
+
+
+def rejected_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """The bids, wins or SQL tweets that their parser leaves out, as they came, with the reason."""
+    opened = open_json(records, schema, keep=("key", "value"))
+    return opened.where(~_is_read(schema)).select("key", "value", F.lit("malformed").alias("reason"))
+
+
 def _tweet_is_complete() -> Column:
     return (
         F.col("id").isNotNull()
@@ -69,18 +80,19 @@ def rejected_tweets(records: DataFrame, feed: bool = False) -> DataFrame:
 
 
 def parse_sql_tweets(records: DataFrame) -> DataFrame:
-    """The SQL feed's declared columns, nested objects kept as JSON text."""
+    """The SQL feed's declared columns, nested objects kept as JSON text; malformed texts are left out."""
     opened = open_json(records, schemas.SQL_TWEET, keep=())
-    return opened.withColumn("timestamp_ms", millis(F.col("timestamp_ms")))
+    return opened.where(_is_read(schemas.SQL_TWEET)).withColumn("timestamp_ms", millis(F.col("timestamp_ms")))
 
 
 def parse_bids(records: DataFrame, sequenced: bool = False) -> DataFrame:
-    """Typed bids; ``sequenced`` adds the fields that order bids of one id and instant."""
-    return open_json(records, schemas.SEQUENCED_BID if sequenced else schemas.BID, keep=())
+    """Typed bids; ``sequenced`` adds the fields that order bids of one id and instant. Malformed texts are left out."""
+    schema = schemas.SEQUENCED_BID if sequenced else schemas.BID
+    return open_json(records, schema, keep=()).where(_is_read(schema))
 
 
 def parse_wins(records: DataFrame) -> DataFrame:
-    return open_json(records, schemas.WIN, keep=())
+    return open_json(records, schemas.WIN, keep=()).where(_is_read(schemas.WIN))
 
 
 def parse_user_totals(records: DataFrame) -> DataFrame:

@@ -2,101 +2,69 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from tweetflow.operators.reconcile import tagged_events
-from tweetflow.operators.skew import is_heavy
+from tweetflow.operators.reconcile import answer_events, tagged_events
+from tweetflow.operators.totals import latest_by_key
 from tweetflow.schemas import BID_ORDER
-from tweetflow.session import settings, state_settings
-from tweetflow.sinks import append_stream
-
-# The processor travels to the Python workers by value, so they need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Auctions are grouped by hash, so that Python is called once per group and not once per auction.
-GROUPS = 256
-# Groups that share the wins of a busy auction.
-LANES = 8
-
-
-class _LastBids(StatefulProcessor):
-    """Keeps the last bid of each auction of a group and answers the group's wins."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getMapState("last_bid", "id string", "cP double")
+# Every so many micro-batches the last bids of all auctions are written, in between those that changed.
+WHOLE_EVERY = 16
+_BEGINNING = -(2**63)
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows), ignore_index=True)
-        auction, ids = pd.factorize(events["id"])
-        columns = [events[c].to_numpy() for c in ("timestamp", "side", *BID_ORDER[1:])]
-        order = np.lexsort([*reversed(columns), auction])
-        auction = auction[order]
-        is_bid = events["side"].to_numpy()[order] == 0
-        probability = events["cP"].to_numpy(dtype="float64")[order]
 
-        position = np.arange(len(order))
-        starts = np.flatnonzero(np.r_[True, auction[1:] != auction[:-1]])
-        ends = np.r_[starts[1:], len(order)] - 1
-        own_start = np.repeat(starts, ends - starts + 1)
-        last_bid = np.maximum.accumulate(np.where(is_bid, position, -1))
-        found = last_bid >= own_start
-        answer = np.where(found, probability[last_bid], np.nan)
+def _whole_since(batch_id: int) -> int:
+    """The micro-batch from which on the kept bids say all that was known before batch_id."""
+    return (batch_id - 1) // WHOLE_EVERY * WHOLE_EVERY
 
-        before = ~is_bid & ~found  # wins ahead of their auction's first bid in this micro-batch
-        carried = np.full(len(ids), np.nan)
-        for code in np.unique(auction[before]):
-            bid = self._last.getValue((ids[code],))
-            if bid is not None and bid[0] is not None:
-                carried[code] = bid[0]
-        answer[before] = carried[auction[before]]
-        for end in ends[found[ends]]:
-            final = probability[last_bid[end]]
-            self._last.updateValue((ids[auction[end]],), (None if np.isnan(final) else float(final),))
 
-        wins = ~is_bid
-        yield pd.DataFrame(
-            {"auctid": ids[auction[wins]], "winPrice": events["winPrice"].to_numpy()[order][wins], "cP": answer[wins]}
-        )
+def last_bids(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The last bid (id, cP) of each auction before a micro-batch."""
+    if batch_id == 0:
+        return spark.createDataFrame([], "id string, cP double")
+    kept = spark.read.schema("id string, cP double, batch_id bigint").parquet(path)
+    recent = kept.where((F.col("batch_id") >= _whole_since(batch_id)) & (F.col("batch_id") < batch_id))
+    return latest_by_key(recent, ["id"], ["batch_id"]).select("id", "cP")
 
-    def close(self) -> None:
-        pass
 
-
-def live_reco(wins: DataFrame, bids: DataFrame, busy: list | None = None, groups: int = GROUPS, lanes: int = LANES) -> DataFrame:
+def start_live_reco(wins: DataFrame, bids: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Every win with the bid that is current when the win is processed; a later bid changes nothing.
 
-    Within a micro-batch bids and wins of an auction take effect by time, bids first. State is the last
-    bid per auction, kept for ever, and a micro-batch touches only the auctions in it.
-
-    The wins of a ``busy`` auction (``heavy_keys`` finds them in the records at hand) are dealt to
-    ``lanes`` groups and its bids go to each of them, so that no task answers it alone. A group's rows
-    are held together for one micro-batch; cap the micro-batch at the source. ``busy``, ``groups`` and
-    ``lanes`` must stay the same for the life of a checkpoint.
+    Within a micro-batch bids and wins of an auction take effect by time, bids first: the batch form answers them, with
+    the last bid known before as each auction's oldest. What is kept is one row per auction, named by the auction
+    alone, so nothing hangs on the number of partitions or cores. Answers and bids go to folders of the micro-batch:
+    run again, it reads what the one before left and replaces its own. Answers are below ``path``/answers, last bids below
+    ``path``/bids; both belong to the checkpoint.
     """
-    # No NULLs among the ordering columns: pandas would turn them into floats.
-    events = tagged_events(wins, bids).withColumns({c: F.coalesce(c, F.lit(-(2**63))) for c in BID_ORDER[1:]})
-    one_lane = F.array(F.pmod(F.xxhash64("timestamp", "winPrice"), F.lit(lanes)))
-    all_lanes = F.array(*[F.lit(i).cast("bigint") for i in range(lanes)])
-    shared = F.when(F.col("side") == 1, one_lane).otherwise(all_lanes)
-    own = F.array(F.lit(0).cast("bigint"))
-    dealt = events.withColumn("lane", F.explode(F.when(is_heavy("id", busy or []), shared).otherwise(own)))
-    grouped = dealt.withColumn("group", F.pmod(F.hash("id", "lane"), F.lit(groups))).drop("lane")
-    return grouped.groupBy("group").transformWithStateInPandas(
-        _LastBids(), "auctid string, winPrice double, cP double", "append", "None"
+    # A missing time or sequence number is older than all others, and the kept bid is older still.
+    events = tagged_events(wins, bids).withColumns(
+        {c: F.greatest(F.coalesce(c, F.lit(_BEGINNING)), F.lit(_BEGINNING + 1)) for c in BID_ORDER}
+    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            known = last_bids(spark, f"{path}/bids", batch_id)
+            asked = known.join(batch.select("id").distinct(), "id", "left_semi")
+            oldest = {c: F.lit(_BEGINNING) for c in BID_ORDER} | {"side": F.lit(0), "winPrice": F.lit(None).cast("double")}
+            answers = answer_events(batch.unionByName(asked.withColumns(oldest)))
+            answers.write.mode("overwrite").parquet(f"{path}/answers/batch_id={batch_id}")
+            bid = batch.where("side = 0").select("id", "cP", *BID_ORDER)
+            changed = latest_by_key(bid, ["id"], BID_ORDER).select("id", "cP")
+            if batch_id % WHOLE_EVERY == 0:
+                changed = changed.unionByName(known.join(changed, "id", "left_anti"))
+            changed.write.mode("overwrite").parquet(f"{path}/bids/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (
+        events.writeStream.outputMode("append").foreachBatch(each)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
-def start_live_reco(
-    wins: DataFrame, bids: DataFrame, path: str, checkpoint: str, trigger: dict,
-    busy: list | None = None, groups: int = GROUPS, lanes: int = LANES, state_partitions: int | None = None,
-) -> StreamingQuery:
-    with settings(wins.sparkSession, state_settings(state_partitions)):
-        return append_stream(live_reco(wins, bids, busy, groups, lanes), path, checkpoint, trigger)
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("auctid string, winPrice double, cP double").parquet(f"{path}/answers/batch_id=*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,20 +24,35 @@ def kafka_topic(spark: SparkSession, servers: str, topic: str, starting: str = "
     return reader.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
+def _first_start(spark: SparkSession, path: str) -> datetime:
+    """The instant kept in a folder, or this one, kept there from now on."""
+    try:
+        (kept,) = spark.read.schema("value string").text(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = datetime.now(timezone.utc).isoformat()
+        spark.createDataFrame([(kept,)], "value string").coalesce(1).write.text(path)
+    return datetime.fromisoformat(kept)
+
+
 def file_topic(
-    spark: SparkSession, path: str, starting: str | datetime = "earliest", files_per_trigger: int | None = None
+    spark: SparkSession, path: str, starting: str | datetime = "earliest", files_per_trigger: int | None = None,
+    started: str | None = None,
 ) -> DataFrame:
     """JSON-lines files that arrive in a folder, oldest first, as (key, value) with no key.
 
-    ``starting`` is ``earliest``, ``latest`` (files that arrive from now on) or a time. Pass the same
-    time again when the stream is restarted.
+    ``starting`` is ``earliest``, ``latest`` (files that arrive from the first start on) or a time. ``started`` is a
+    folder that keeps the instant of the first start for later ones; ``latest`` needs it.
     """
     reader = spark.readStream.option("latestFirst", "false")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     lines = reader.text(path)
     if starting == "latest":
-        starting = datetime.now(timezone.utc)
+        if not started:
+            raise ValueError("latest needs a folder that keeps the instant of the first start")
+        starting = _first_start(spark, started)
     if starting != "earliest":
         lines = lines.where(F.col("_metadata.file_modification_time") >= F.lit(starting))
     return lines.select(F.lit(None).cast("string").alias("key"), "value")
