@@ -16,7 +16,7 @@ from tweetflow.llm.components import connected
 
 SEED = 42
 # Words hashed at once, node pairs held at once, and leaf pairs compared at once: they bound memory, not results.
-BLOCK, PAIRS, LEAF = 1 << 16, 1 << 17, 32
+BLOCK, PAIRS, LEAF = 1 << 16, 1 << 15, 32
 # Subtrees are split until none holds more fingerprints, at least and at most to these depths.
 SUBTREE, LEAST_DEPTH, DEEPEST = 1 << 15, 3, 16
 
