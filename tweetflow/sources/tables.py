@@ -22,6 +22,15 @@ def _first(items: list[int], count: Column) -> Column:
     return F.slice(F.array(*[F.lit(i).cast("bigint") for i in items]), 1, count.cast("int"))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows without a key dealt evenly, at every size, as a producer deals them to a topic's partitions.
+
+    The tables come in files that one task has to read whole; the session's shuffle partitions say how many tasks
+    make and parse records. Rows are still a few numbers here, no texts.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _record(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields))
 
@@ -92,7 +101,7 @@ def bid_records(spark: SparkSession, sf_dir: str, narrow: Narrow | None = None)
     lines = table(spark, sf_dir, "lineitem")
     lines = narrow(lines) if narrow else lines
     lines = lines.select("l_shipdate", "l_orderkey", "l_suppkey", "l_discount", "l_linenumber", "l_partkey")
-    return lines.select(
+    return _dealt(lines).select(
         F.lit(None).cast("string").alias("key"),
         _record(
             epoch_ms("l_shipdate").alias("timestamp"),
@@ -110,7 +119,7 @@ def win_records(spark: SparkSession, sf_dir: str, narrow: Narrow | None = None)
     """One win per order."""
     orders = table(spark, sf_dir, "orders")
     orders = narrow(orders) if narrow else orders
-    return orders.select(
+    return _dealt(orders.select("o_orderdate", "o_orderkey", "o_custkey", "o_totalprice")).select(
         F.lit(None).cast("string").alias("key"),
         _record(
             epoch_ms("o_orderdate").alias("timestamp"),
