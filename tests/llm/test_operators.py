@@ -167,6 +167,17 @@ def test_no_rules_and_no_pages(spark):
     assert url_filter.judge(pages.where("false"), queries.RULES, ["page_id"]).count() == 0
 
 
+def test_first_filter_errs_on_few_keys_of_a_large_universe(spark):
+    """Two listed keys among 400 000: the keys of level 1 follow the list, not the universe."""
+    listed = spark.createDataFrame([("net/",), ("example.com/de/",)], "key string")
+    universe = spark.range(400_000).select(F.concat(F.lit("host"), "id", F.lit("/")).alias("key")).unionByName(listed)
+    first = url_filter.bloom(listed, 2, 2 / 400_002, 0)
+    held = table(universe.where(url_filter.maybe_in(F.col("key"), first, 0)))
+    assert {("net/",), ("example.com/de/",)} <= set(held) and len(held) <= 20
+    assert [url_filter.filter_shape(2, 2 / 10**k)[0] for k in (6, 12)] == [1 << 11, 1 << 21]
+    assert url_filter.filter_shape(1_000_000, 1e-6) == (1 << 25, 16)
+
+
 def test_cascade_is_exact_on_its_universe(spark):
     """Levels are needed: the first filter errs, and the cascade doesn't."""
     universe = spark.range(3000).select(F.concat(F.lit("h"), "id", F.lit(".net/")).alias("key"))
@@ -176,7 +187,7 @@ def test_cascade_is_exact_on_its_universe(spark):
     members = table(universe.where(url_filter.listed_in(F.col("key"), levels)))
     assert members == table(listed) and len(levels) > 1
     assert universe.where(url_filter.maybe_in(F.col("key"), levels[0], 0)).count() > n
-    assert sum(map(len, levels)) * 64 < 40 * n
+    assert sum(len(level.words) for level in levels) * 64 < 40 * n
 
 
 # Token counts

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,14 @@ from tweetflow.llm.common import cut
 
 #: More listed keys are refused: the filters, a few bytes a key, are sent to every task.
 MOST_LISTED = 1_000_000
-HASHES = 3
+MOST_HASHES = 16
+
+
+class Bloom(NamedTuple):
+    """A filter's bits, 64 to a word, and the number of places a key sets."""
+
+    words: list[int]
+    hashes: int
 
 
 def host_of(url: Column) -> Column:
@@ -40,54 +48,65 @@ def candidate_keys(host: Column, path: Column, rules: list[str]) -> Column:
     return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
 
 
-def _places(key: Column, bits: int, level: int) -> list[Column]:
-    first, step = F.pmod(F.xxhash64(F.lit(level), key), F.lit(bits)), F.pmod(F.xxhash64(key, F.lit(level)), F.lit(bits))
-    return [F.pmod(first + step * i, F.lit(bits)) for i in range(HASHES)]
+def filter_shape(n: int, rate: float) -> tuple[int, int]:
+    """Bits and places for n keys, so that other keys are taken for them at about the given rate.
+
+    Bits are a power of two, in which places an odd step apart are all different. A key's places hang on two
+    numbers below the bits only, so bits are never so few that whole sequences of places coincide more often.
+    """
+    hashes = min(MOST_HASHES, max(1, math.ceil(-math.log2(rate))))
+    filled = -hashes * n / math.log1p(-(rate ** (1 / hashes)))
+    return 1 << max(6, math.ceil(math.log2(max(filled, math.sqrt(2 * n / rate))))), hashes
 
 
-def bloom(keys: DataFrame, bits: int, level: int) -> list[int]:
-    """The words of a filter of so many bits over (key)."""
-    place = keys.select(F.explode(F.array(*_places(F.col("key"), bits, level))).alias("place"))
+def _places(key: Column, bits: int, hashes: int, level: int) -> list[Column]:
+    below = F.lit(bits - 1).cast("bigint")
+    first = F.xxhash64(F.lit(level), key).bitwiseAND(below)
+    step = F.xxhash64(key, F.lit(level)).bitwiseAND(below).bitwiseOR(F.lit(1).cast("bigint"))
+    return [(first + step * i).bitwiseAND(below) for i in range(hashes)]
+
+
+def bloom(keys: DataFrame, n: int, rate: float, level: int) -> Bloom:
+    """A filter over the n keys of (key)."""
+    bits, hashes = filter_shape(n, rate)
+    place = keys.select(F.explode(F.array(*_places(F.col("key"), bits, hashes, level))).alias("place"))
     bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
     words = [0] * (bits // 64)
     for row in place.groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
         words[row["word"]] = row["bits"]
-    return words
+    return Bloom(words, hashes)
 
 
-def maybe_in(key: Column, words: list[int], level: int) -> Column:
-    table = F.lit(words).cast("array<bigint>")
+def maybe_in(key: Column, held: Bloom, level: int) -> Column:
+    # One text for all words, which becomes an array when the plan is made.
+    table = F.split(F.lit(" ".join(map(str, held.words))), " ").cast("array<bigint>")
 
     def is_set(place: Column) -> Column:
         word = F.get(table, F.floor(place / 64).cast("int"))
         return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))) != 0
 
-    return reduce(Column.__and__, map(is_set, _places(key, 64 * len(words), level)))
+    return reduce(Column.__and__, map(is_set, _places(key, 64 * len(held.words), held.hashes, level)))
 
 
-def cascade(listed: DataFrame, universe: DataFrame, n_listed: int, n_universe: int) -> list[list[int]]:
+def cascade(listed: DataFrame, universe: DataFrame, n_listed: int, n_universe: int) -> list[Bloom]:
     """Filters that together answer exactly, for every key of the universe, whether it is listed.
 
     Level 0 holds the listed keys; level 1 the keys of the universe that level 0 takes for listed and that aren't;
     level 2 the listed ones that level 1 takes for those; and so on until a level errs no more. Level 0 is sized so
-    that it errs on about as many keys as there are listed, and so all levels together follow the list and
-    the logarithm of the universe, never the universe itself.
+    that it errs on about as many keys as there are listed, at any size of the universe: its bits follow the list and
+    the logarithm of the universe, or the square root of the universe if that is more (a million millions: 256 KB).
     """
-
-    def bits(n: int, rate: float) -> int:
-        return 64 * max(1, math.ceil(n * -math.log(rate) / math.log(2) ** 2 / 64))
-
-    levels = [bloom(listed, bits(n_listed, min(0.25, n_listed / max(n_universe, 1))), 0)]
+    levels = [bloom(listed, n_listed, min(0.25, n_listed / max(n_universe, 1)), 0)]
     wrong = universe.where(maybe_in(F.col("key"), levels[0], 0)).distinct().join(listed, "key", "left_anti")
     inside, outside = listed, cut(wrong)
     while n := outside.count():
         level = len(levels)
-        levels.append(bloom(outside, bits(n, 0.25), level))
+        levels.append(bloom(outside, n, 0.25, level))
         inside, outside = outside, cut(inside.where(maybe_in(F.col("key"), levels[-1], level)))
     return levels
 
 
-def listed_in(key: Column, levels: list[list[int]]) -> Column:
+def listed_in(key: Column, levels: list[Bloom]) -> Column:
     answer = F.lit(True)
     for level in reversed(range(len(levels))):
         # In this level, and not among what the next level takes back.
