@@ -85,6 +85,51 @@ def test_compacted_index_reads_the_same(spark):
     assert rows(sinks.read_index(spark, f"{path}-compact")) == rows(sinks.read_index(spark, path))
 
 
+def test_index_reads_cost_the_same_after_many_batches(spark):
+    """Every third batch the index is written whole; reads open that folder alone, and a batch may run again."""
+    path = shared_dir(spark, "long")
+    write = sinks.index_writer(path, whole_every=3)
+    counted = {}
+    for batch in range(9):
+        change = users(spark, 40).where(F.col("count") % 9 <= batch).withColumn("count", F.lit(batch).cast("bigint"))
+        change = change.where(F.col("userID").cast("int") % 4 == batch % 4)
+        counted |= {r["userID"]: batch for r in change.collect()}
+        for _ in range(2):
+            write(change, batch)
+        read = sinks.read_index(spark, path)
+        assert dict(rows(read, "userID", "count")) == counted
+        start = batch // 3 * 3
+        assert {f.split("/batch_id=")[0].rsplit("/", 1)[1] for f in read.inputFiles()} == {f"whole={start}"}
+        assert len({f.split("/batch_id=")[1].split("/")[0] for f in read.inputFiles()}) <= 3
+    assert sinks.lookup_index(spark, path, "7").count() == 1
+    assert spark.read.parquet(f"{path}-layout").count() == 2
+
+
+def test_a_whole_write_that_broke_off_leaves_the_index_as_it_was(spark):
+    path = shared_dir(spark, "broken")
+    write = sinks.index_writer(path, whole_every=2)
+    write(users(spark, 30), 0)
+    write(users(spark, 10).withColumn("fav", F.lit(1).cast("bigint")), 1)
+    before = rows(sinks.read_index(spark, path))
+    failing = users(spark, 20).withColumn("fav", F.expr("CASE WHEN count = 19 THEN raise_error('lost') ELSE 2 END").cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        write(failing, 2)
+    assert rows(sinks.read_index(spark, path)) == before
+    write(users(spark, 20).withColumn("fav", F.lit(2).cast("bigint")), 2)
+    assert rows(sinks.read_index(spark, path).groupBy("fav").count()) == [(0, 10), (2, 20)]
+
+
+def test_buckets_follow_the_number_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "KEYS_PER_BUCKET", 10)
+    path = shared_dir(spark, "grown")
+    write = sinks.index_writer(path, whole_every=2)
+    for batch, n in enumerate((50, 400, 10)):
+        write(users(spark, n), batch)
+    assert spark.read.parquet(f"{path}/whole=0").select(F.max("bucket")).first()[0] < 16
+    assert 16 <= spark.read.parquet(f"{path}/whole=2").select(F.max("bucket")).first()[0] < 40
+    assert sinks.lookup_index(spark, path, "399").count() == 1 and sinks.read_index(spark, path).count() == 400
+
+
 def test_named_tables_are_replaced(spark):
     path = shared_dir(spark, "named")
     sinks.create_table_as(spark.range(3), "named_rows", f"{path}/a")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,8 @@ from tweetflow.fixed import PARTITIONS, ROWS_PER_FILE, TOTALS
 from tweetflow.operators.totals import latest_by_key
 from tweetflow.operators.tweets import keyed_json, user_records
 
-INDEX_BUCKETS = 16
+# An index has one bucket for so many keys, and so many at least; every so many micro-batches it is written whole.
+KEYS_PER_BUCKET, LEAST_BUCKETS, WHOLE_EVERY = 10_000_000, 16, 16
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -105,34 +107,77 @@ def typed_writer(path: str, fmt: str = "parquet") -> BatchWriter:
     return write
 
 
-def index_writer(path: str, key: str = "userID", buckets: int = INDEX_BUCKETS) -> BatchWriter:
+def index_writer(path: str, key: str = "userID", buckets: int | None = None, whole_every: int = WHOLE_EVERY) -> BatchWriter:
     """Upserts each micro-batch into an index by key: the row of the latest batch counts.
 
     Rows are laid out by bucket of the key and sorted by key, so that a lookup opens one bucket. Every task writes
-    into the buckets it has keys of, so the number of buckets bounds no writers. Keep that number for the life of
-    the index, and choose it by the number of keys.
+    into the buckets it has keys of, so the number of buckets bounds no writers.
+
+    Every ``whole_every`` batches the index as it stands is written whole, and batches after it add to that folder,
+    so a read meets so many batches at most however long the stream has run. The number of buckets is chosen anew
+    then, by the number of keys, and kept beside the index in one of two slots in turn: the earlier folder and its
+    slot stay until the new ones are complete, and a batch that is run again finds them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("bucket", _bucket(key, buckets)).sortWithinPartitions("bucket", key)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(_batch_folder(path, batch_id))
+        spark = batch.sparkSession
+        last = _last_whole(spark, path, batch_id)
+        if last and batch_id - last["start"] < whole_every:
+            _write_buckets(batch, f"{path}/whole={last['start']}", batch_id, key, last["buckets"])
+            return
+        rows = batch
+        if last:
+            before = _index_rows(spark, path, last).where(F.col("batch_id") < batch_id).drop("bucket")
+            both = before.unionByName(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+            rows = latest_by_key(both, [key], ["batch_id"]).drop("batch_id").repartitionByRange(_bucket(key, last["buckets"]), key)
+        chosen = buckets or max(LEAST_BUCKETS, -(-rows.count() // KEYS_PER_BUCKET))
+        _write_buckets(rows, f"{path}/whole={batch_id}", batch_id, key, chosen)
+        layout = spark.createDataFrame([(batch_id, chosen)], "start bigint, buckets int").coalesce(1)
+        layout.write.mode("overwrite").parquet(f"{path}-layout/slot={1 - last['slot'] if last else 0}")
 
     return write
 
 
-def _index_rows(spark: SparkSession, path: str) -> DataFrame:
+def _write_buckets(rows: DataFrame, folder: str, batch_id: int, key: str, buckets: int) -> None:
+    laid = rows.withColumn("bucket", _bucket(key, buckets)).sortWithinPartitions("bucket", key)
+    laid.write.mode("overwrite").partitionBy("bucket").parquet(_batch_folder(folder, batch_id))
+
+
+def _last_whole(spark: SparkSession, path: str, before: int | None = None) -> Row | None:
+    """Where the index was last written whole (start, buckets, slot), of those before a micro-batch if one is given."""
+    try:
+        kept = spark.read.schema("start bigint, buckets int, slot int").parquet(f"{path}-layout")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    kept = kept if before is None else kept.where(F.col("start") < before)
+    return kept.orderBy(F.col("start").desc()).first()
+
+
+def _index_rows(spark: SparkSession, path: str, whole: Row) -> DataFrame:
     layout = [T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())]
-    return spark.read.schema(T.StructType(schemas.USER_TOTALS.fields + layout)).parquet(path)
+    return spark.read.schema(T.StructType(schemas.USER_TOTALS.fields + layout)).parquet(f"{path}/whole={whole['start']}")
+
+
+def _written(spark: SparkSession, path: str) -> Row:
+    whole = _last_whole(spark, path)
+    if whole is None:
+        raise ValueError(f"no index at {path}")
+    return whole
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The index as it stands: the last row written per key."""
-    return latest_by_key(_index_rows(spark, path), ["userID"], ["batch_id"]).select(*TOTALS)
+    return latest_by_key(_index_rows(spark, path, _written(spark, path)), ["userID"], ["batch_id"]).select(*TOTALS)
 
 
-def lookup_index(spark: SparkSession, path: str, user_id: str, buckets: int = INDEX_BUCKETS) -> DataFrame:
+def lookup_index(spark: SparkSession, path: str, user_id: str) -> DataFrame:
     """One document by its id: reads one bucket, with the id pushed to the scan."""
-    rows = _index_rows(spark, path).where((F.col("bucket") == _bucket(F.lit(user_id), buckets)) & (F.col("userID") == user_id))
+    whole = _written(spark, path)
+    rows = _index_rows(spark, path, whole).where(
+        (F.col("bucket") == _bucket(F.lit(user_id), whole["buckets"])) & (F.col("userID") == user_id)
+    )
     return latest_by_key(rows, ["userID"], ["batch_id"]).select(*TOTALS)
 
 
