@@ -446,6 +446,28 @@ def labelled(spark, docs):
     return docs(*plain, *bad), labels
 
 
+def test_words_are_known_by_their_surest_form(monkeypatch):
+    weights = toxicity.Weights({"scum": (4.0, 9.0), "scum*": (2.0, 3.0), "scumbag*": (3.0, 5.0)})
+    monkeypatch.setattr(toxicity, "HELD", 2)
+    for _ in range(2):
+        of = [weights.of(word) for word in ("scum", "scums", "scumbag", "scumbags", "scu", "")]
+        assert of == [9.0, 3.0, 3.0, 5.0, -toxicity.DRIFT, -toxicity.DRIFT]
+    assert toxicity.forms("abc") == ["abc"] and toxicity.forms("abcdef") == ["abcdef", "abcd*", "abcde*"]
+    # A word that comes again nearby counts once, its other forms count too.
+    assert list(toxicity.weigh(["scum", "scum", "scums"], weights)) == [9.0, -toxicity.DRIFT, 3.0]
+
+
+def test_scores_rise_with_the_best_segment():
+    """Also where few or no clean documents have a segment, or none has."""
+    for hits in (0, 1, 40):
+        clean = toxicity.Extremes.fitted(300, hits, 1.5 if hits else None, 0.2 if hits else None)
+        toxic = toxicity.Extremes.fitted(40, 36, 2.5, 0.4, clean.scale)
+        model = toxicity.Model(toxicity.Weights({}), clean, toxic, 0.1)
+        scores = [model.score(best) for best in (0.0, 3.0, 6.0, 12.0, 24.0, 1e6)]
+        assert scores == sorted(scores) and scores[0] < 0.1 and scores[-1] > 0.9 and 0 <= scores[0] and scores[-1] <= 1
+        assert toxicity.Extremes.fitted(0, 0, None, None).above(0.0) <= 1
+
+
 def test_toxic_passages(spark, docs, clashing):
     given_, labels = labelled(spark, docs)
     model = toxicity.fit(given_, labels)

@@ -90,7 +90,8 @@ def test_stage_cases(spark, docs, clashing, name, stage):
 
 
 def test_scores_do_not_see_ids(spark, docs):
-    model = toxicity.Model({"vile": 9.0}, toxicity.Gumbel(0.0, 0.25), toxicity.Gumbel(2.0, 0.5), 0.1)
+    clean, toxic = toxicity.Extremes(0.1, 0.0, 0.25), toxicity.Extremes(0.9, 2.0, 0.5)
+    model = toxicity.Model(toxicity.Weights({"vile": (5.0, 9.0)}), clean, toxic, 0.1)
     scores = docs((1, "so vile"), (999, "so vile"), (None, "so vile")).select(toxicity.scored(F.col("text"), model, spark)["score"].alias("s"))
     assert scores.distinct().count() == 1
 

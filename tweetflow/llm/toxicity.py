@@ -15,14 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"[^\W\d_]+")
-#: Bounds on the model: tokens kept, the strongest first. A token needs this many documents and this z.
-MOST_TOKENS, LEAST_DOCS, LEAST_Z = 100_000, 3, 3.0
-# The prior gives every token half a document, and so many more in proportion to its documents; then the
+# A word is known by itself and by its beginnings of so many letters, which its inflections share; "" is any word.
+BEGINNINGS = range(4, 8)
+#: Bounds on the model: tokens kept, the strongest first. A token needs this count and these log-odds, and one of the two
+#: z, the latter for beginnings of words.
+MOST_TOKENS, LEAST_COUNT, LEAST_WEIGHT, LEAST_Z, BEGINNING_Z = 100_000, 3, 3.0, 3.0, 5.0
+# The prior gives every token half a count, and so many more in all in proportion to its counts; then the
 # weight of a token of no known odds, and the largest weight.
 PRIOR, DRIFT, STRONGEST = 20.0, 0.15, 12.0
-# A token that comes again within so many tokens counts once: the odds are of documents that have it.
+# A word that comes again within so many words counts once: the odds are of the different words of documents.
 AGAIN = 50
-# Distinct tokens a task counts before it passes them on.
+# Distinct tokens a task counts before it passes them on, and words whose weights a task remembers.
 HELD = 1 << 18
 EULER = 0.5772156649015329
 
@@ -31,38 +34,77 @@ def tokens(text: str | None) -> list[str]:
     return TOKEN.findall(text.lower()) if text else []
 
 
+def forms(word: str) -> list[str]:
+    """The word, and those of its beginnings that are shorter with an asterisk."""
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if n < len(word))]
+
+
+class Weights:
+    """Weights of words from (sure, weight) by form: the weight of the surest form, and drift without any."""
+
+    def __init__(self, strong: dict[str, tuple[float, float]]):
+        self.strong, self.words = strong, {}
+
+    def __reduce__(self):
+        return Weights, (self.strong,)
+
+    def of(self, word: str) -> float:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= HELD:
+                self.words.clear()
+            found = max((self.strong[form] for form in forms(word) if form in self.strong), default=(0.0, -DRIFT))[1]
+            self.words[word] = found
+        return found
+
+
 @dataclass(frozen=True)
-class Gumbel:
+class Extremes:
+    """How best segments are spread in one kind of document: some have one (hit); the logarithm of 1 and its score then
+    follows an extreme-value distribution."""
+
+    hit: float
     place: float
     scale: float
 
     @classmethod
-    def fitted(cls, mean: float | None, deviation: float | None) -> Gumbel:
-        scale = max(0.25, (deviation or 0.0) * math.sqrt(6) / math.pi)
-        return cls((mean or 0.0) - EULER * scale, scale)
+    def fitted(cls, rows: int, hits: int, mean: float | None, deviation: float | None, least_scale: float = 0.25) -> Extremes:
+        """From the rows and the mean and deviation of the hits. One more hit by the weakest word is taken as seen, and one
+        more row without, so that nothing is impossible."""
+        weakest, mean = math.log1p(LEAST_WEIGHT), mean or 0.0
+        middle = (hits * mean + weakest) / (hits + 1)
+        square = hits * ((deviation or 0.0) ** 2 + (mean - middle) ** 2) + (weakest - middle) ** 2
+        scale = max(least_scale, math.sqrt(6 * square / (hits + 1)) / math.pi)
+        return cls((hits + 1) / (rows + 2), middle - EULER * scale, scale)
+
+    def mean(self) -> float:
+        return self.place + EULER * self.scale
 
     def log_density(self, x: float) -> float:
         z = (x - self.place) / self.scale
-        return -z - math.exp(min(-z, 700.0)) - math.log(self.scale)
+        return math.log(self.hit) - z - math.exp(min(-z, 700.0)) - math.log(self.scale)
 
     def above(self, x: float) -> float:
-        """The chance of a maximum at or above x."""
-        return -math.expm1(-math.exp(min(-(x - self.place) / self.scale, 700.0)))
+        """The chance of a document with a segment at or above x."""
+        return -self.hit * math.expm1(-math.exp(min(-(x - self.place) / self.scale, 700.0)))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of tokens, and how the logarithm of 1 and the best segment is spread in clean and toxic documents."""
+    """Weights of words, the best segments of clean and of toxic documents, and the share of toxic ones."""
 
-    weights: dict[str, float]
-    clean: Gumbel
-    toxic: Gumbel
+    weights: Weights
+    clean: Extremes
+    toxic: Extremes
     share: float
 
     def score(self, best: float) -> float:
-        """The chance that a document with this best segment is toxic; below the clean mean as at it."""
-        x = max(math.log1p(best), self.clean.place + EULER * self.clean.scale)
-        odds = self.toxic.log_density(x) - self.clean.log_density(x) + math.log(self.share / (1 - self.share))
+        """The chance that a document with this best segment is toxic, at least that of one without a segment."""
+        odds = math.log((1 - self.toxic.hit) / (1 - self.clean.hit))
+        if best > 0:
+            x = max(math.log1p(best), self.clean.mean())
+            odds = max(odds, self.toxic.log_density(x) - self.clean.log_density(x))
+        odds += math.log(self.share / (1 - self.share))
         return 1 / (1 + math.exp(-max(min(odds, 700.0), -700.0)))
 
 
@@ -96,8 +138,8 @@ def segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
     return [(start, end, right - left) for start, end, left, right in found]
 
 
-def weigh(words: list[str], weights: dict[str, float]) -> np.ndarray:
-    found = np.fromiter((weights.get(word, -DRIFT) for word in words), np.float64, len(words))
+def weigh(words: list[str], weights: Weights) -> np.ndarray:
+    found = np.fromiter(map(weights.of, words), np.float64, len(words))
     last: dict[str, int] = {}
     for at in np.flatnonzero(found > 0).tolist():
         if at - last.get(words[at], -AGAIN) < AGAIN:
@@ -106,8 +148,9 @@ def weigh(words: list[str], weights: dict[str, float]) -> np.ndarray:
     return found
 
 
-def token_documents(rows: DataFrame) -> DataFrame:
-    """(token, toxic, clean): in how many documents of (text, toxic) each token is; counted in the tasks first."""
+def token_counts(rows: DataFrame) -> DataFrame:
+    """(token, toxic, clean): how many different words of documents (text, toxic) have this form; counted in the tasks
+    first. The token "" has the number of all of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (Counter(), Counter())
@@ -121,7 +164,10 @@ def token_documents(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic")):
-                held[toxic.as_py() == 1].update(set(tokens(text.as_py())))
+                words, counter = set(tokens(text.as_py())), held[toxic.as_py() == 1]
+                counter[""] += len(words)
+                for word in words:
+                    counter.update(forms(word))
                 if len(held[0]) + len(held[1]) > HELD:
                     yield flush()
         yield flush()
@@ -132,19 +178,19 @@ def token_documents(rows: DataFrame) -> DataFrame:
 
 def log_odds(counts: DataFrame) -> DataFrame:
     """(token, weight, z): log-odds of toxic against clean documents under a Dirichlet prior in proportion to the
-    token's documents in both (Monroe et al. 2008)."""
-    sums = counts.agg(F.sum("toxic").alias("all_toxic"), F.sum("clean").alias("all_clean"), F.count("*").alias("tokens"))
-    row = sums.first()
-    prior = 0.5 + F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / F.greatest(F.col("all_toxic") + F.col("all_clean"), F.lit(1))
+    token's count in both (Monroe et al. 2008)."""
+    every = counts.where("token = ''").first()
+    all_toxic, all_clean = (every["toxic"], every["clean"]) if every else (0, 0)
+    prior = 0.5 + F.lit(PRIOR / max(all_toxic + all_clean, 1)) * (F.col("toxic") + F.col("clean"))
 
-    def odds(own: str, every: str) -> Column:
-        return F.log((F.col(own) + F.col("prior")) / (F.col(every) + PRIOR + F.lit(0.5 * row["tokens"]) - F.col(own) - F.col("prior")))
+    def odds(own: str, every: int) -> Column:
+        have = F.col(own) + F.col("prior")
+        return F.log(have / F.greatest(F.lit(every + 2 * PRIOR) - have, F.lit(0.5)))
 
     spread = F.sqrt(1 / (F.col("toxic") + F.col("prior")) + 1 / (F.col("clean") + F.col("prior")))
     return (
-        counts.withColumns({"all_toxic": F.lit(row["all_toxic"] or 0), "all_clean": F.lit(row["all_clean"] or 0)})
-        .withColumn("prior", prior)
-        .withColumn("weight", odds("toxic", "all_toxic") - odds("clean", "all_clean"))
+        counts.where("token <> ''").withColumn("prior", prior)
+        .withColumn("weight", odds("toxic", all_toxic) - odds("clean", all_clean))
         .withColumn("z", F.col("weight") / spread)
     )
 
@@ -165,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     Odds are learned from three quarters of the rows, by a hash of the id; on the others, whose words the odds have
     not seen, the best segments of clean and of toxic documents each give an extreme-value distribution. All rows
-    are counted. The tokens the model keeps are bounded by MOST_TOKENS, whatever the corpus: that is its broadcast.
+    are counted. Odds are of words and of their beginnings, which stand for words too rare to have odds. The tokens the model keeps are bounded by MOST_TOKENS, whatever the corpus: that is its broadcast.
     A document labelled twice is toxic if one label says so. Null texts are empty; null ids and labels teach nothing.
     """
     spark = docs.sparkSession
@@ -178,34 +224,41 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return docs.select("doc_id", "text").where(which).join(known.where(which), "doc_id").select("text", "toxic")
 
     # One row a token; the counts are kept, for they are read twice.
-    counts = token_documents(labelled(~held_back)).where(F.col("toxic") + F.col("clean") >= LEAST_DOCS).persist()
+    counts = token_counts(labelled(~held_back)).where(F.col("toxic") + F.col("clean") >= LEAST_COUNT).persist()
+    enough = F.when(F.col("token").endswith("*"), BEGINNING_Z).otherwise(LEAST_Z)
+    # Two deviations below its weight is how far a form is sure.
+    sure = F.col("weight") - 2 * F.col("weight") / F.col("z")
     strong = (
-        log_odds(counts).where((F.col("z") >= LEAST_Z) & (F.col("weight") > 0))
-        .orderBy(F.col("z").desc(), "token").limit(MOST_TOKENS).select("token", "weight").collect()
+        log_odds(counts).where((F.col("z") >= enough) & (F.col("weight") >= LEAST_WEIGHT))
+        .orderBy(F.col("z").desc(), "token").limit(MOST_TOKENS).select("token", sure.alias("sure"), "weight").collect()
     )
     counts.unpersist()
-    weights = spark.sparkContext.broadcast({row["token"]: min(STRONGEST, row["weight"]) for row in strong})
+    weights = spark.sparkContext.broadcast(Weights({row["token"]: (row["sure"], min(STRONGEST, row["weight"])) for row in strong}))
+    best = F.when(F.col("best") > 0, F.log1p("best"))
     spread = {
         row["toxic"]: row
         for row in labelled(held_back)
         .select(F.col("toxic").cast("int").alias("toxic"), best_segment(F.col("text"), weights).alias("best"))
-        .groupBy("toxic").agg(F.count("*").alias("rows"), F.avg(F.log1p("best")).alias("mean"), F.stddev_pop(F.log1p("best")).alias("deviation"))
+        .groupBy("toxic")
+        .agg(F.count("*").alias("rows"), F.count(best).alias("hits"), F.avg(best).alias("mean"), F.stddev_pop(best).alias("deviation"))
         .collect()
     }
     if not {0, 1} <= spread.keys():
         return None
-    share = spread[1]["rows"] / (spread[0]["rows"] + spread[1]["rows"])
-    clean, toxic = (Gumbel.fitted(spread[k]["mean"], spread[k]["deviation"]) for k in (0, 1))
-    return Model(weights.value, clean, toxic, share)
+    fields = ("rows", "hits", "mean", "deviation")
+    clean = Extremes.fitted(*(spread[0][field] for field in fields))
+    # No narrower than the clean one, or the strongest segments of all would count as clean.
+    toxic = Extremes.fitted(*(spread[1][field] for field in fields), clean.scale)
+    return Model(weights.value, clean, toxic, spread[1]["rows"] / (spread[0]["rows"] + spread[1]["rows"]))
 
 
 def scored(text: Column, model: Model | None, spark, significance: float = 1e-3) -> Column:
     """struct(score, passages) of a text: the chance that it is toxic, and its significant passages.
 
-    Tokens with known odds have them as weight, all others a small negative one. One linear scan finds all maximal
+    Words with a form of known odds have them as weight, all others a small negative one. One linear scan finds all maximal
     scoring segments; a passage is a segment such as a clean document reaches with a chance of `significance` at
-    most, as (start, end, score) in characters. The best segment's place in the two extreme-value distributions gives the
-    score. Null, empty and wordless texts have no segment and the lowest score; without a model the score is 0. Whole
+    most, as (start, end, score) in characters. Whether there is a segment, and the best one's place in the two
+    extreme-value distributions, give the score. Null, empty and wordless texts have no segment and the lowest score; without a model the score is 0. Whole
     texts are scanned. Equal texts have equal scores.
     """
     shared = spark.sparkContext.broadcast(model)
