@@ -26,7 +26,7 @@ PRIOR, DRIFT, STRONGEST = 20.0, 0.15, 12.0
 # A word that comes again within so many words counts once: the odds are of the different words of documents.
 AGAIN = 50
 # Distinct tokens a task counts before it passes them on, and words whose weights a task remembers.
-HELD = 1 << 18
+HELD = 1 << 16
 EULER = 0.5772156649015329
 
 
