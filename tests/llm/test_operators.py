@@ -457,6 +457,19 @@ def test_words_are_known_by_their_surest_form(monkeypatch):
     assert list(toxicity.weigh(["scum", "scum", "scums"], weights)) == [9.0, -toxicity.DRIFT, 3.0]
 
 
+def test_all_log_odds_are_in_the_scan(spark):
+    """Also small ones and those of clean words; a passage of moderately toxic words is a segment."""
+    counts = [("", 20_000, 180_000), ("vile", 90, 3), ("rude", 60, 180), ("nice", 3, 900), ("once", 1, 2)]
+    rows = toxicity.log_odds(spark.createDataFrame(counts, "token string, toxic long, clean long"))
+    found = toxicity.shrunk(rows).toPandas()
+    weights = toxicity.Weights((found["key"].to_numpy().view("uint64"), found["sure"].to_numpy(), found["weight"].to_numpy()))
+    vile, rude, nice, once, unknown = weights.all_of(["vile", "rude", "nice", "once", "never"])
+    assert vile > 3 > rude > 0.8 and nice < -0.5 and unknown == -toxicity.DRIFT and 0 < abs(once + toxicity.DRIFT) < 0.2
+    words = "so rude and rude".split()
+    assert [segment[:2] for segment in toxicity.segments(toxicity.weigh(words, weights))] == [(1, 2)]
+    assert len(found) == 4
+
+
 def test_scores_rise_with_the_best_segment():
     """Also where few or no clean documents have a segment, or none has."""
     for hits in (0, 1, 40):

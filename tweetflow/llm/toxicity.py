@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(r"[^\W\d_]+")
 # A word is known by itself and by its beginnings of so many letters, which its inflections share; "" is any word.
 BEGINNINGS = range(4, 8)
-#: Bounds on the model: tokens kept, the strongest first. A token needs this count and these log-odds, and one of the two
-#: z, the latter for beginnings of words.
-MOST_TOKENS, LEAST_COUNT, LEAST_WEIGHT, LEAST_Z, BEGINNING_Z = 100_000, 3, 3.0, 3.0, 5.0
-# The prior gives every token half a count, and so many more in all in proportion to its counts; then the
-# weight of a token of no known odds, and the largest weight.
-PRIOR, DRIFT, STRONGEST = 20.0, 0.15, 12.0
+#: A token needs this count to have odds. Log-odds with these z, the latter for beginnings of words, are halved; those of
+#: smaller z shrink further, and of larger ones less.
+LEAST_COUNT, HALF_Z, BEGINNING_Z = 3, 4.0, 6.0
+# The prior gives every token half a count, and so many more in all in proportion to its counts; then what
+# every token takes from a segment, as the only weight of one of no known odds, the largest log-odds, and those of the
+# weakest word that makes a segment.
+PRIOR, DRIFT, STRONGEST, WEAKEST = 20.0, 0.15, 12.0, 3.0
 # A word that comes again within so many words counts once: the odds are of the different words of documents.
 AGAIN = 50
 # Distinct tokens a task counts before it passes them on, and words whose weights a task remembers.
@@ -39,23 +40,59 @@ def forms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if n < len(word))]
 
 
+def hashed(names: list[str]) -> np.ndarray:
+    """64-bit hashes, the same in every process."""
+    return pd.util.hash_array(np.array(names, dtype=object), categorize=False)
+
+
 class Weights:
-    """Weights of words from (sure, weight) by form: the weight of the surest form, and drift without any."""
+    """Weights of words from (sure, weight) by form: the weight of the surest form, and drift without any.
 
-    def __init__(self, strong: dict[str, tuple[float, float]]):
-        self.strong, self.words = strong, {}
+    Forms are held as sorted hashes with two numbers each, so all that have odds fit.
+    """
+
+    def __init__(self, strong: dict[str, tuple[float, float]] | tuple[np.ndarray, np.ndarray, np.ndarray]):
+        if isinstance(strong, dict):
+            values = np.array(list(strong.values()), np.float64).reshape(-1, 2)
+            strong = (hashed(list(strong)), values[:, 0], values[:, 1])
+        order = np.argsort(strong[0], kind="stable")
+        self.keys, self.sure, self.weights = (column[order] for column in strong)
+        self.words = {}
 
     def __reduce__(self):
-        return Weights, (self.strong,)
+        return Weights, ((self.keys, self.sure, self.weights),)
+
+    def look_up(self, words: list[str]) -> dict[str, float]:
+        if not words or not len(self.keys):
+            return dict.fromkeys(words, -DRIFT)
+        names, owner = [], []
+        for i, word in enumerate(words):
+            own = forms(word)
+            names += own
+            owner += [i] * len(own)
+        keys = hashed(names)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = np.flatnonzero(self.keys[at] == keys)
+        at, owner = at[known], np.array(owner)[known]
+        # The surest form of a word comes last.
+        order = np.lexsort((self.weights[at], self.sure[at], owner))
+        found = np.full(len(words), -DRIFT)
+        found[owner[order]] = self.weights[at[order]]
+        return dict(zip(words, found.tolist()))
+
+    def all_of(self, words: list[str]) -> np.ndarray:
+        new = [word for word in set(words) if word not in self.words]
+        known = self.words
+        if new:
+            # Of words that do not fit, only those of this text are held.
+            if len(known) + len(new) > HELD:
+                new, known = list(set(words)), {}
+            known.update(self.look_up(new))
+            self.words = known if len(known) <= HELD else {}
+        return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
 
     def of(self, word: str) -> float:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= HELD:
-                self.words.clear()
-            found = max((self.strong[form] for form in forms(word) if form in self.strong), default=(0.0, -DRIFT))[1]
-            self.words[word] = found
-        return found
+        return float(self.all_of([word])[0])
 
 
 @dataclass(frozen=True)
@@ -71,7 +108,7 @@ class Extremes:
     def fitted(cls, rows: int, hits: int, mean: float | None, deviation: float | None, least_scale: float = 0.25) -> Extremes:
         """From the rows and the mean and deviation of the hits. One more hit by the weakest word is taken as seen, and one
         more row without, so that nothing is impossible."""
-        weakest, mean = math.log1p(LEAST_WEIGHT), mean or 0.0
+        weakest, mean = math.log1p(WEAKEST), mean or 0.0
         middle = (hits * mean + weakest) / (hits + 1)
         square = hits * ((deviation or 0.0) ** 2 + (mean - middle) ** 2) + (weakest - middle) ** 2
         scale = max(least_scale, math.sqrt(6 * square / (hits + 1)) / math.pi)
@@ -139,12 +176,12 @@ def segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def weigh(words: list[str], weights: Weights) -> np.ndarray:
-    found = np.fromiter(map(weights.of, words), np.float64, len(words))
+    found = weights.all_of(words)
     last: dict[str, int] = {}
-    for at in np.flatnonzero(found > 0).tolist():
-        if at - last.get(words[at], -AGAIN) < AGAIN:
+    for at, word in enumerate(words):
+        if at - last.get(word, -AGAIN) < AGAIN:
             found[at] = -DRIFT
-        last[words[at]] = at
+        last[word] = at
     return found
 
 
@@ -195,6 +232,24 @@ def log_odds(counts: DataFrame) -> DataFrame:
     )
 
 
+def shrunk(odds: DataFrame) -> DataFrame:
+    """(key, sure, weight) of all tokens of (token, weight, z): log-odds, of either sign, shrunk by their z without a limit
+    below which they are none, less the drift. Sure is how many deviations they are from none."""
+
+    def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(hashed(batch.tolist()).view(np.int64) if len(batch) else [], dtype="int64")
+
+    half = F.when(F.col("token").endswith("*"), BEGINNING_Z).otherwise(HALF_Z)
+    size = F.abs("z")
+    weight = F.col("weight") * F.pow(size, 4) / (F.pow(size, 4) + F.pow(half, 4))
+    return odds.select(
+        F.pandas_udf(keys, "long")("token").alias("key"),
+        size.cast("float").alias("sure"),
+        (F.least(F.lit(STRONGEST), F.greatest(F.lit(-STRONGEST), weight)) - DRIFT).cast("float").alias("weight"),
+    )
+
+
 def best_segment(text: Column, weights) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -211,7 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     Odds are learned from three quarters of the rows, by a hash of the id; on the others, whose words the odds have
     not seen, the best segments of clean and of toxic documents each give an extreme-value distribution. All rows
-    are counted. Odds are of words and of their beginnings, which stand for words too rare to have odds. The tokens the model keeps are bounded by MOST_TOKENS, whatever the corpus: that is its broadcast.
+    are counted. Odds are of words and of their beginnings, which stand for words too rare to have odds. The model keeps
+    all of them, 16 bytes each: that is its broadcast.
     A document labelled twice is toxic if one label says so. Null texts are empty; null ids and labels teach nothing.
     """
     spark = docs.sparkSession
@@ -225,15 +281,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     # One row a token; the counts are kept, for they are read twice.
     counts = token_counts(labelled(~held_back)).where(F.col("toxic") + F.col("clean") >= LEAST_COUNT).persist()
-    enough = F.when(F.col("token").endswith("*"), BEGINNING_Z).otherwise(LEAST_Z)
-    # Two deviations below its weight is how far a form is sure.
-    sure = F.col("weight") - 2 * F.col("weight") / F.col("z")
-    strong = (
-        log_odds(counts).where((F.col("z") >= enough) & (F.col("weight") >= LEAST_WEIGHT))
-        .orderBy(F.col("z").desc(), "token").limit(MOST_TOKENS).select("token", sure.alias("sure"), "weight").collect()
-    )
+    every = shrunk(log_odds(counts)).toArrow()
     counts.unpersist()
-    weights = spark.sparkContext.broadcast(Weights({row["token"]: (row["sure"], min(STRONGEST, row["weight"])) for row in strong}))
+    columns = [every.column(name).to_numpy() for name in ("key", "sure", "weight")]
+    weights = spark.sparkContext.broadcast(Weights((columns[0].view(np.uint64), *columns[1:])))
     best = F.when(F.col("best") > 0, F.log1p("best"))
     spread = {
         row["toxic"]: row
@@ -255,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 def scored(text: Column, model: Model | None, spark, significance: float = 1e-3) -> Column:
     """struct(score, passages) of a text: the chance that it is toxic, and its significant passages.
 
-    Words with a form of known odds have them as weight, all others a small negative one. One linear scan finds all maximal
+    Words with a form of known odds have them, shrunk by how sure they are and less a small drift, as weight; all others the negative drift alone. One linear scan finds all maximal
     scoring segments; a passage is a segment such as a clean document reaches with a chance of `significance` at
     most, as (start, end, score) in characters. Whether there is a segment, and the best one's place in the two
     extreme-value distributions, give the score. Null, empty and wordless texts have no segment and the lowest score; without a model the score is 0. Whole
