@@ -470,6 +470,21 @@ def test_all_log_odds_are_in_the_scan(spark):
     assert len(found) == 4
 
 
+def test_a_word_counts_again_after_fifty_words():
+    weights = toxicity.Weights({"scum": (4.0, 9.0)})
+    for gap in (1, 20, 30, 49, 50, 70):
+        words = (["scum"] + ["so"] * (gap - 1)) * 12
+        counted, want = -toxicity.AGAIN, []
+        for at in range(0, len(words), gap):
+            if at - counted >= toxicity.AGAIN:
+                want.append(at)
+                counted = at
+        assert np.flatnonzero(toxicity.weigh(words, weights) > 0).tolist() == want
+    assert len(toxicity.segments(toxicity.weigh((["scum"] + ["so"] * 29) * 200, weights))) == 1
+    apart = (["scum"] + ["so"] * 200 + ["scum"] + ["so"] * 29) * 3
+    assert len(toxicity.segments(toxicity.weigh(apart, weights))) > 1
+
+
 def test_scores_rise_with_the_best_segment():
     """Also where few or no clean documents have a segment, or none has."""
     for hits in (0, 1, 40):

@@ -24,7 +24,7 @@ LEAST_COUNT, HALF_Z, BEGINNING_Z = 3, 4.0, 6.0
 # every token takes from a segment, as the only weight of one of no known odds, the largest log-odds, and those of the
 # weakest word that makes a segment.
 PRIOR, DRIFT, STRONGEST, WEAKEST = 20.0, 0.15, 12.0, 3.0
-# A word that comes again within so many words counts once: the odds are of the different words of documents.
+# A word that comes again within so many words of where it was counted does not count: odds are of the different words of documents.
 AGAIN = 50
 # Distinct tokens a task counts before it passes them on, and words whose weights a task remembers.
 HELD = 1 << 16
@@ -181,7 +181,8 @@ def weigh(words: list[str], weights: Weights) -> np.ndarray:
     for at, word in enumerate(words):
         if at - last.get(word, -AGAIN) < AGAIN:
             found[at] = -DRIFT
-        last[word] = at
+        else:
+            last[word] = at
     return found
 
 
