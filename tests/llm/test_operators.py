@@ -309,6 +309,14 @@ def test_spots(spark):
     assert len(spots("nothing common here")) == 1 and spots("") == set() and len(spots("?")) == 1
 
 
+def test_texts_without_a_spot_have_near_copies(spark):
+    words = [f"слово{i}" for i in range(60)]
+    texts = [(" ".join(words),), (" ".join(words[:30] + ["другое"] + words[31:]),), ("два слова",), ("два, слова!",), ("the a of",)]
+    one, other, short, marked, anchors = (set(r[0]) for r in spark.createDataFrame(texts, "t string").select(spotsigs.signatures(F.col("t"))).collect())
+    assert len(one) == len(other) == 58 and len(one & other) == 55
+    assert len(short) == len(marked) == len(anchors) == 1 and short != marked
+
+
 def test_spot_order_cases(docs, clashing):
     assert spotsigs.compare_next(docs()).count() == 0
     alone = spotsigs.compare_next(docs((7, "abcdef"))).first()
