@@ -335,6 +335,28 @@ def test_order_over_many_ranges(spark, docs):
     assert {r["doc_id"]: r["next_id"] for r in found} == {i: (i - 1) % 1009 for i in range(1009)}
 
 
+def test_near_copies_anywhere_in_the_table(spark):
+    """The registered query searches the whole table, and counts copies and near copies of every document."""
+    found = queries.op7_spotsigs(spark, "/root/testdata/sf0.001").collect()
+    sets = [frozenset(row["fingerprint"].split()) for row in found]
+
+    def alike(a, b):
+        return a == b or len(a & b) >= 0.8 * len(a | b)
+
+    assert [row["n_links"] for row in found] == [sum(alike(a, b) for b in sets) - 1 for a in sets]
+    assert len({(row["class_id"], row["fingerprint"]) for row in found}) == len(set(sets)) == len({row["class_id"] for row in found})
+
+
+def test_links_of_copies_and_near_copies(docs):
+    base = [f"the w{i} v{i}" for i in range(20)]
+    one, near, far = " ".join(base), " ".join(base[:-1]), " ".join(base[:8])
+    rows = [(9, one), (1, one), (5, near), (3, far), (7, None), (2, ""), (4, "the same"), (5, near)]
+    frame = docs(*rows)
+    found = spotsigs.with_links(spotsigs.compare_next(frame), frame).collect()
+    assert len(found) == len(rows) and spotsigs.with_links(spotsigs.compare_next(docs()), docs()).count() == 0
+    assert {r["doc_id"]: r["n_links"] for r in found} == {9: 3, 1: 3, 5: 3, 3: 0, 7: 1, 2: 1, 4: 0}
+
+
 def test_similar_sets(spark):
     draw = random.Random(2)
     base = [draw.sample(range(5000), draw.randrange(3, 60)) for _ in range(25)]

@@ -53,7 +53,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.compare_next(read(spark, sf_dir, "documents"))
+    docs = read(spark, sf_dir, "documents")
+    return spotsigs.with_links(spotsigs.compare_next(docs), docs)
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
