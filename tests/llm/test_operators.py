@@ -537,6 +537,14 @@ def test_toxic_passages(spark, docs, clashing):
     assert found[None]["score"] == found[1]["score"] >= 0.7 > found[2]["score"] == found[3]["score"] == found[4]["score"] == found[6]["score"]
 
 
+def test_a_calibration_part_without_toxic_rows(spark, docs):
+    given_, labels = labelled(spark, docs)
+    held_back = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(4)) == 0
+    fewer = labels.where((F.col("toxic") == 0) | ~held_back)
+    model = toxicity.fit(given_, fewer)
+    assert model is not None and model.score(12.0) > 0.7 > model.score(0.0)
+
+
 def test_toxicity_cases(spark, docs, clashing):
     given_, labels = labelled(spark, docs)
     assert toxicity.fit(given_, labels.where("false")) is None and toxicity.fit(docs(), labels) is None

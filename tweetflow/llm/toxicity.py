@@ -266,8 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from rows of docs (doc_id, text) that have labels (doc_id, toxic); None without rows of both kinds.
 
     Odds are learned from three quarters of the rows, by a hash of the id; on the others, whose words the odds have
-    not seen, the best segments of clean and of toxic documents each give an extreme-value distribution. All rows
-    are counted. Odds are of words and of their beginnings, which stand for words too rare to have odds. The model keeps
+    not seen, the best segments of clean and of toxic documents each give an extreme-value distribution; where these lack
+    a kind, all rows do. All rows are counted. Odds are of words and of their beginnings, which stand for words too rare to have odds. The model keeps
     all of them, 16 bytes each: that is its broadcast.
     A document labelled twice is toxic if one label says so. Null texts are empty; null ids and labels teach nothing.
     """
@@ -287,14 +287,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     columns = [every.column(name).to_numpy() for name in ("key", "sure", "weight")]
     weights = spark.sparkContext.broadcast(Weights((columns[0].view(np.uint64), *columns[1:])))
     best = F.when(F.col("best") > 0, F.log1p("best"))
-    spread = {
-        row["toxic"]: row
-        for row in labelled(held_back)
-        .select(F.col("toxic").cast("int").alias("toxic"), best_segment(F.col("text"), weights).alias("best"))
-        .groupBy("toxic")
-        .agg(F.count("*").alias("rows"), F.count(best).alias("hits"), F.avg(best).alias("mean"), F.stddev_pop(best).alias("deviation"))
-        .collect()
-    }
+
+    def spread_of(which: Column) -> dict:
+        found = (
+            labelled(which).select(F.col("toxic").cast("int").alias("toxic"), best_segment(F.col("text"), weights).alias("best"))
+            .groupBy("toxic")
+            .agg(F.count("*").alias("rows"), F.count(best).alias("hits"), F.avg(best).alias("mean"), F.stddev_pop(best).alias("deviation"))
+        )
+        return {row["toxic"]: row for row in found.collect()}
+
+    spread = spread_of(held_back)
+    if not {0, 1} <= spread.keys():
+        # Few labels: words the odds have seen tell less, but more than none.
+        spread = spread_of(F.lit(True))
     if not {0, 1} <= spread.keys():
         return None
     fields = ("rows", "hits", "mean", "deviation")
