@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tweetflow.llm import (
-    decontaminate, language, licenses, mixing, sharding, simhash, spotsigs, token_counts, toxicity, url_filter,
+    decontaminate, divergence, language, licenses, mixing, sharding, simhash, spotsigs, token_counts, toxicity, url_filter,
 )
 from tweetflow.llm.common import read
 from tweetflow.session import shared_dir
@@ -84,10 +84,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", score.alias("score"), (score >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_mix_sources, op2_simhash, op3_url_filter, op4_token_counts, op5_license_scan, op6_language, op7_spotsigs,
-        op8_decontaminate, op9_shards, op10_toxicity,
+        op8_decontaminate, op9_shards, op10_toxicity, op11_divergence,
     )
     return {query.__name__: query for query in named}
 
@@ -169,5 +173,43 @@ FROM whole LEFT JOIN known USING (digest) LEFT JOIN found USING (row)
 """
 
 
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), in_docs AS (
+  SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS lang_n FROM in_docs GROUP BY ALL HAVING count(*) >= 10
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS terms, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), cells AS (
+  SELECT g.lang, g.source, term, lang_n, coalesce(c.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept USING (lang)
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM in_docs GROUP BY ALL) c USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n,
+    1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 2 * terms) AS p,
+    1 + 1000000000::HUGEINT * (lang_n + 2) // (lang_total + 2 * terms) AS q
+  FROM cells JOIN langs USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX_SQL, "op3_url_filter": URL_SQL, "op5_license_scan": LICENSE_SQL}
+    return {"op11_divergence": DIVERGENCE_SQL, "op1_mix_sources": MIX_SQL, "op3_url_filter": URL_SQL, "op5_license_scan": LICENSE_SQL}
