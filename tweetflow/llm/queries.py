@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tweetflow.llm import (
-    decontaminate, divergence, language, licenses, mixing, sharding, simhash, spelling, spotsigs, token_counts,
+    decontaminate, divergence, embeddings, language, licenses, mixing, sharding, simhash, spelling, spotsigs, token_counts,
     toxicity, url_filter,
 )
 from tweetflow.llm.common import read
@@ -93,10 +93,15 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_mix_sources, op2_simhash, op3_url_filter, op4_token_counts, op5_license_scan, op6_language, op7_spotsigs,
         op8_decontaminate, op9_shards, op10_toxicity, op11_divergence, op12_spelling,
+        op13_embeddings,
     )
     return {query.__name__: query for query in named}
 
