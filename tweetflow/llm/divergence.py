@@ -17,10 +17,12 @@ from tweetflow.session import shared_dir
 # Bytes outside terms to spaces, A-Z to a-z. All bytes of a character beyond ASCII belong to terms.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 # Bytes of a text split at once and counts held before they are handed on: they bound memory, not results.
-BLOCK, HELD = 1 << 20, 1 << 18
+BLOCK, HELD = 1 << 20, 1 << 19
 # Terms and sources of one tile of a language's table of shares.
 TILE_TERMS, TILE_SOURCES = 4096, 256
 SCALE = 1_000_000_000
+# As many groups (rows of a few numbers and two names) are sent to every task; more are joined.
+BROADCAST_GROUPS = 10_000
 
 
 def _pieces(text: bytes) -> Iterator[list[bytes]]:
@@ -34,20 +36,34 @@ def _pieces(text: bytes) -> Iterator[list[bytes]]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, d): occurrences and documents, in as many rows per term as blocks of documents held it."""
+    """(gid, lang, term, n, d, told) from (gid, lang, text): occurrences in and number of documents of a group.
 
-    def rows(counts: dict) -> pa.RecordBatch:
-        flat = [(*group, term, n, docs[term]) for group, (words, docs) in counts.items() for term, n in words.items()]
-        columns = list(zip(*flat)) or [()] * 5
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "term", "n", "d"])
+    There are as many rows per term as blocks of documents held it; of the rows of one block that share language and term
+    one is told.
+    """
+
+    def rows(gid: int, lang: str, words: Counter, docs: Counter, told: set[bytes]) -> pa.RecordBatch:
+        new = [term not in told for term in words]
+        told.update(words)
+        columns = [
+            pa.array(np.full(len(words), gid)), pa.array([lang], pa.string()).take(pa.array(np.zeros(len(words), np.int64))),
+            pa.array(words, pa.binary(), size=len(words)), pa.array(words.values(), pa.int64(), size=len(words)),
+            pa.array(map(docs.__getitem__, words), pa.int64(), size=len(words)), pa.array(new, pa.bool_()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["gid", "lang", "term", "n", "d", "told"])
+
+    def told(counts: dict) -> Iterator[pa.RecordBatch]:
+        known: dict[str, set[bytes]] = {}
+        for (gid, lang), (words, docs) in counts.items():
+            if words:
+                yield rows(gid, lang, words, docs, known.setdefault(lang, set()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict = {}
         held = 0
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words, docs = counts.setdefault((lang, source), (Counter(), Counter()))
+            for gid, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words, docs = counts.setdefault((gid, lang), (Counter(), Counter()))
                 held -= len(words)
                 seen: set[bytes] = set()
                 for piece in _pieces(text):
@@ -56,16 +72,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 docs.update(seen)
                 held += len(words)
                 if held > HELD:
-                    yield rows(counts)
+                    yield from told(counts)
                     counts, held = {}, 0
-        yield rows(counts)
+        yield from told(counts)
 
-    none = F.lit("")
-    plain = docs.select(
-        F.coalesce("lang", none).alias("lang"), F.coalesce("source", none).alias("source"),
-        F.coalesce("text", none).cast("binary").alias("text"),
-    )
-    found = plain.mapInArrow(count, "lang string, source string, term binary, n long, d long")
+    found = docs.mapInArrow(count, "gid long, lang string, term binary, n long, d long, told boolean")
     return found.withColumn("term", F.col("term").cast("string"))
 
 
@@ -79,61 +90,74 @@ def distance(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def numbered_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """docs as (gid, lang, text), their groups (gid, lang, source), and how many there are.
+
+    ``gid`` is a digest of language and source, seeded so that no two groups share one.
+    """
+    none = F.lit("")
+    plain = docs.select(*[F.coalesce(c, none).alias(c) for c in ("lang", "source", "text")])
+    groups = cut(plain.select("lang", "source").distinct())
+    many, seed = groups.count(), 0
+    while groups.select(F.xxhash64(F.lit(seed), "lang", "source")).distinct().count() < many:
+        seed += 1
+    gid = F.xxhash64(F.lit(seed), "lang", "source").alias("gid")
+    return plain.select(gid, "lang", F.col("text").cast("binary").alias("text")), groups.select(gid, "lang", "source"), many
+
+
 def _kept(counts: DataFrame, key: list[str], least: int) -> DataFrame:
     """Counts per group of the terms (by key) in at least so many documents of their language, with the language's count."""
-    of_group = counts.groupBy("lang", "source", *key).agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
-    term = Window.partitionBy("lang", *key)
+    of_group = counts.groupBy("gid", *key).agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    term = Window.partitionBy(*key)
     summed = of_group.withColumns({"lang_n": F.sum("n").over(term), "docs": F.sum("d").over(term)})
-    return summed.where(F.col("docs") >= least).select("lang", "source", *key, "n", "lang_n")
+    return summed.where(F.col("docs") >= least).select("gid", *key, "n", "lang_n")
 
 
 def kept_terms(docs: DataFrame, least: int = 10, bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    """Counts (lang, source, digest, nth, n, lang_n) of the kept terms, and their texts (lang, digest, nth, term).
+    """Counts (gid, digest, nth, n, lang_n) of the kept terms of docs (gid, lang, text), and their texts (digest, nth, term).
 
-    Terms are counted by a digest of ``bits`` bits, so that counting shuffles no text. A digest that is kept has its
-    least and greatest text looked up; where these differ, terms collide, and those are counted again by their text
-    and told apart by ``nth``. Terms that collide are in as many documents together as any of them alone at least, so
+    Terms are counted by a digest, of ``bits`` bits, of language and term, so that counting shuffles no text. A digest that is
+    kept has its least and greatest text looked up; where these differ, terms collide, and those are counted again by their
+    text and told apart by ``nth``. Terms that collide are in as many documents together as any of them alone at least, so
     none is lost before.
     """
     spark = docs.sparkSession
     path = shared_dir(spark, "terms")
     term_counts(docs).write.parquet(path)
-    counts = spark.read.parquet(path)
-    digest = F.xxhash64("term")
-    counts = counts.withColumn("digest", digest if bits == 64 else F.shiftrightunsigned(digest, 64 - bits))
+    digest = F.xxhash64("lang", "term")
+    counts = spark.read.parquet(path).withColumn("digest", digest if bits == 64 else F.shiftrightunsigned(digest, 64 - bits))
     kept = cut(_kept(counts, ["digest"], least))
 
-    digests = kept.select("lang", "digest").distinct()
-    spelled = counts.select("lang", "digest", "term").distinct().join(digests, ["lang", "digest"], "left_semi")
-    ends = cut(spelled.groupBy("lang", "digest").agg(F.min("term").alias("term"), F.max("term").alias("last")))
-    collided = ends.where("term <> last").select("lang", "digest")
+    text = F.struct("lang", "term")
+    spelled = counts.where("told").select("digest", "lang", "term").distinct()
+    spelled = spelled.join(kept.select("digest").distinct(), "digest", "left_semi")
+    ends = cut(spelled.groupBy("digest").agg(F.min(text).alias("text"), F.max(text).alias("last")))
+    collided = ends.where("text <> last").select("digest")
     zero = F.lit(0).alias("nth")
     if collided.isEmpty():
-        return kept.select("lang", "source", "digest", zero, "n", "lang_n"), ends.select("lang", "digest", zero, "term")
-
-    again = _kept(counts.join(collided, ["lang", "digest"], "left_semi"), ["digest", "term"], least)
-    order = Window.partitionBy("lang", "digest").orderBy("term")
-    split = cut(again.withColumn("nth", F.dense_rank().over(order)))
-    alone = kept.join(collided, ["lang", "digest"], "left_anti").withColumn("nth", zero)
-    columns = ["lang", "source", "digest", "nth", "n", "lang_n"]
-    texts = ends.where("term = last").select("lang", "digest", zero, "term")
+        return kept.select("gid", "digest", zero, "n", "lang_n"), ends.select("digest", zero, "text.term")
+
+    again = _kept(counts.join(collided, "digest", "left_semi"), ["digest", "lang", "term"], least)
+    split = cut(again.withColumn("nth", F.dense_rank().over(Window.partitionBy("digest").orderBy("lang", "term"))))
+    alone = kept.join(collided, "digest", "left_anti").withColumn("nth", zero)
+    columns = ["gid", "digest", "nth", "n", "lang_n"]
+    texts = ends.where("text = last").select("digest", zero, "text.term")
     return (
         cut(alone.select(*columns).unionByName(split.select(*columns))),
-        texts.unionByName(split.select("lang", "digest", "nth", "term").distinct()),
+        texts.unionByName(split.select("digest", "nth", "term").distinct()),
     )
 
 
-def group_sizes(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Every (lang, source) with its place in the language and the language's number of sources, and totals of kept terms."""
-    none = F.lit("")
-    groups = docs.select(F.coalesce("lang", none).alias("lang"), F.coalesce("source", none).alias("source")).distinct()
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    terms = kept.groupBy("lang", "digest", "nth").agg(F.max("lang_n").alias("lang_n"))
-    langs = terms.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+def group_sizes(groups: DataFrame, kept: DataFrame) -> DataFrame:
+    """Every group with its place in the language and the language's number of sources, and totals of kept terms."""
+    totals = kept.groupBy("gid").agg(F.sum("n").alias("total"))
+    terms = kept.groupBy("digest", "nth").agg(F.max("lang_n").alias("lang_n"), F.min("gid").alias("gid"))
+    by_group = terms.groupBy("gid").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    langs = groups.join(by_group, "gid").groupBy("lang").agg(F.sum("terms").alias("terms"), F.sum("lang_total").alias("lang_total"))
     zero = F.lit(0).cast("long")
     in_lang = Window.partitionBy("lang").orderBy("source")
-    return groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").select(
-        "lang", "source", (F.row_number().over(in_lang) - 1).alias("place"),
+    return groups.join(totals, "gid", "left").join(langs, "lang", "left").select(
+        "gid", "lang", "source", (F.row_number().over(in_lang) - 1).alias("place"),
         F.count("*").over(Window.partitionBy("lang")).alias("sources"),
         *[F.coalesce(c, zero).alias(c) for c in ("total", "terms", "lang_total")],
     )
@@ -161,12 +185,13 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
         p, q = table[:, i, None], table[:, others]
         empty = (lacking[i] - lacking[others]) ** 2 // (lacking[i] + lacking[others])
         value = ((p - q) ** 2 // (p + q)).sum(axis=0) + (rest - len(table)) * empty
-        found.append(pd.DataFrame({"lang": lang, "a": places[i], "b": places[others], "value": value}))
-    return pd.concat(found) if found else pd.DataFrame({"lang": [], "a": [], "b": [], "value": []})
+        found.append(pd.DataFrame({"a": places[i], "b": places[others], "value": value}))
+    empty = pd.DataFrame({"a": [], "b": [], "value": []}, dtype="int64")
+    return pd.concat([empty, *found], ignore_index=True).assign(lang=lang)
 
 
-def pair_distances(kept: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(lang, a, b, value) for every two sources of a language, by place, a < b.
+def pair_distances(cells: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(lang, a, b, value) for every two sources of a language, by place, a < b; cells are kept terms with their group's sizes.
 
     A language's table of shares is cut into tiles of terms and sources. A tile holds the shares its sources have and
     sums all its pairs, so tasks hold a bounded table however common a term or large a source is.
@@ -178,7 +203,7 @@ def pair_distances(kept: DataFrame, sizes: DataFrame) -> DataFrame:
         met = rows.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         return met.withColumns({"low": F.least(own, "met"), "high": F.greatest(own, "met")})
 
-    cells = kept.join(sizes, ["lang", "source"]).select(
+    cells = cells.select(
         "lang", "place", "sources", "digest", "nth", share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
         F.pmod(F.hash("digest", "nth"), parts).alias("part"), F.lit(0).cast("long").alias("rest"), F.lit(False).alias("head"),
     )
@@ -200,8 +225,10 @@ def audit(docs: DataFrame, least: int = 10, top: int = 10, bits: int = 64) -> Da
     a source without such. Equal values are ranked by text. No rows: no rows. Texts of any length are counted block by
     block; only lang, source and text are read, so other columns may have any name.
     """
+    docs, groups, many = numbered_groups(docs)
     kept, texts = kept_terms(docs, least, bits)
-    sizes = cut(group_sizes(docs, kept))
+    sizes = cut(group_sizes(groups, kept))
+    cells = kept.join(F.broadcast(sizes) if many <= BROADCAST_GROUPS else sizes, "gid")
 
     def ranked(rows: DataFrame) -> DataFrame:
         best = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
@@ -209,15 +236,15 @@ def audit(docs: DataFrame, least: int = 10, top: int = 10, bits: int = 64) -> Da
 
     of_source = share(F.col("n"), F.col("total"), F.col("terms"))
     of_lang = share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))
-    shares = kept.join(sizes, ["lang", "source"]).select("lang", "source", "digest", "nth", of_source.alias("p"), of_lang.alias("q"))
+    shares = cells.select("lang", "source", "digest", "nth", of_source.alias("p"), of_lang.alias("q"))
     valued = shares.where("p > q").select("lang", "source", "digest", "nth", distance(F.col("p"), F.col("q")).alias("value"))
     # Ties at the last rank stay until the texts, which order them, are there.
     by_value = Window.partitionBy("lang", "source").orderBy(F.col("value").desc())
     first = valued.withColumn("place", F.rank().over(by_value)).where(F.col("place") <= top)
-    named = first.join(texts.withColumnRenamed("term", "item"), ["lang", "digest", "nth"])
+    named = first.join(texts.withColumnRenamed("term", "item"), ["digest", "nth"])
     terms = ranked(named.withColumn("part", F.lit("term"))).where(F.col("rank") <= top)
 
-    pairs = pair_distances(kept, sizes)
+    pairs = pair_distances(cells, sizes)
     both = pairs.unionByName(pairs.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     one = sizes.select("lang", F.col("place").alias("a"), "source")
     other = sizes.select("lang", F.col("place").alias("b"), F.col("source").alias("item"))
