@@ -177,7 +177,7 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
     term = cells.groupby(["digest", "nth"], sort=False).ngroup().to_numpy()
     table = np.tile(lacking, (term.max() + 1 if len(term) else 0, 1))
     table[term, np.searchsorted(places, cells["place"].to_numpy(np.int64))] = cells["p"].to_numpy(np.int64)
-    block = places // TILE_SOURCES
+    block = heads["own"].to_numpy()
     right = np.flatnonzero(block == high)
     found = []
     for i in np.flatnonzero(block == low):
@@ -201,7 +201,7 @@ def pair_distances(cells: DataFrame, sizes: DataFrame) -> DataFrame:
 
     def dealt(rows: DataFrame) -> DataFrame:
         met = rows.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        return met.withColumns({"low": F.least(own, "met"), "high": F.greatest(own, "met")})
+        return met.withColumns({"own": own, "low": F.least(own, "met"), "high": F.greatest(own, "met")})
 
     cells = cells.select(
         "lang", "place", "sources", "digest", "nth", share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
