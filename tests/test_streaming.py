@@ -13,7 +13,7 @@ from tweetflow.fixed import PACED
 from tweetflow.operators import reconcile, totals
 from tweetflow.session import settings, shared_dir
 from tweetflow.sources import records as source
-from tweetflow.streaming import feeds, live_reco, topics
+from tweetflow.streaming import feeds, named, running, state, topics
 
 
 def publish(spark, path, *values, files=1):
@@ -175,31 +175,33 @@ def win(id, ts, price):
 
 
 def live(spark, path):
-    bids = source.parse_bids(topics.file_topic(spark, f"{path}/bids"), sequenced=True)
-    wins = source.parse_wins(topics.file_topic(spark, f"{path}/wins"))
-    live_reco.start_live_reco(wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN).awaitTermination()
-    return rows(live_reco.read_answers(spark, f"{path}/out"))
+    to = named.Statements(spark, path, 2)
+    name = f"reco_{path.rsplit('-', 1)[1]}"
+    bids = source.parse_bids(topics.file_topic(to.session, f"{path}/bids"), sequenced=True)
+    wins = source.parse_wins(topics.file_topic(to.session, f"{path}/wins"))
+    to.create_stream_as(name, running.live_reco(wins, bids), topics.DRAIN).awaitTermination()
+    return rows(to.rows(name)), rows(state.last_bids(spark, to.checkpoint(name)))
 
 
-@pytest.mark.parametrize("whole_every", [1, 2, 16])
-def test_live_reco_sees_the_bids_that_have_arrived(spark, monkeypatch, whole_every):
-    """However often all bids are written, and whatever the number of partitions at a restart."""
-    monkeypatch.setattr(live_reco, "WHOLE_EVERY", whole_every)
+def test_live_reco_sees_the_bids_that_have_arrived(spark):
+    """After restarts too, whatever the number of partitions the session asks for by then."""
     path = shared_dir(spark, "live")
     publish(spark, f"{path}/bids", bid("a", 10, 0.1), bid("b", 10, 0.2), bid("b", 10, 0.3, seq=1), bid("n", 10, 0.4), bid("n", 11, None))
     publish(spark, f"{path}/wins", win("a", 5, 1.0), win("b", 10, 2.0), win("c", 50, 3.0), win("n", 12, 4.0), win(None, 12, 9.0))
     first = [("a", 1.0, None), ("b", 2.0, 0.3), ("c", 3.0, None), ("n", 4.0, None)]
-    assert live(spark, path) == first
+    known = [("a", 0.1), ("b", 0.3), ("n", None)]
+    assert live(spark, path) == (first, known)
     # A later bid changes no earlier answer; a later win sees it even when its time is earlier.
     publish(spark, f"{path}/bids", bid("c", 40, 0.7))
     publish(spark, f"{path}/wins", win("a", 30, 5.0), win("a", 6, 6.0), win("b", 9, 7.0), win("n", 20, 8.0), win("c", 41, 10.0))
     more = [("a", 5.0, 0.1), ("a", 6.0, 0.1), ("b", 7.0, 0.3), ("n", 8.0, None), ("c", 10.0, 0.7)]
+    known = sorted([*known, ("c", 0.7)], key=repr)
     with settings(spark, {"spark.sql.shuffle.partitions": "7"}):
-        assert live(spark, path) == sorted(first + more, key=repr)
+        assert live(spark, path) == (sorted(first + more, key=repr), known)
     for price in (11.0, 12.0):
         publish(spark, f"{path}/wins", win("n", 1, price), win("b", 1, price))
         more += [("n", price, None), ("b", price, 0.3)]
-        assert live(spark, path) == sorted(first + more, key=repr)
+        assert live(spark, path) == (sorted(first + more, key=repr), known)
 
 
 def test_live_reco_of_a_busy_auction_equals_the_batch_form(spark):
@@ -209,7 +211,7 @@ def test_live_reco_of_a_busy_auction_equals_the_batch_form(spark):
     for low, high in ((0, 20), (20, 45), (45, 99)):
         publish(spark, f"{path}/bids", *[b for b in bids if low <= b["timestamp"] < high])
         publish(spark, f"{path}/wins", *[w for w in wins if low <= w["timestamp"] < high])
-        got = live(spark, path)
+        got, _ = live(spark, path)
     lines = [spark.read.text(f"{path}/{side}").selectExpr("CAST(NULL AS string) AS key", "value") for side in ("wins", "bids")]
     assert got == rows(reconcile.reco_asof(source.parse_wins(lines[0]), source.parse_bids(lines[1], sequenced=True)))
 

@@ -133,7 +133,7 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(f'CAST(least("{c}", {int_max}) AS INTEGER) AS "{c}"' for c in ("count", "fav", "hashtags", "mentioned"))
         + ", name FROM totals"
     )
-    return {
+    batch = {
         "tweet_transformed": _TWEETS + "SELECT * FROM transformed",
         "user_mentions": _TWEETS + 'SELECT uid AS "userID", CAST(1 AS BIGINT) AS mentioned FROM mentions',
         "user_table": _TWEETS + 'SELECT uid AS "userID", n AS "count", fav, hashtags, name FROM user_table',
@@ -180,6 +180,7 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT 'transformed' AS branch, count(*) AS n FROM transformed UNION ALL
              SELECT 'mario', count(*) FROM mario UNION ALL SELECT 'reconciliation', count(*) FROM totals""",
         "stream_reco": _ASOF,
+        "stream_state_bids": _BIDS + "SELECT * FROM last_bid",
         "stream_transformed": _keyed("transformed", '"userID"', _TOTAL_COLUMNS[:-1]),
         "stream_mario": _keyed("mario", "CAST(NULL AS VARCHAR)", _MARIO_COLUMNS),
         "stream_typed": typed,
@@ -188,3 +189,10 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN event_id % 97 = 0 THEN 'malformed' ELSE 'incomplete' END AS reason
             FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0""",
     }
+    # Streams that end at the rows of a batch query.
+    same = {
+        "stream_ksql_mario_fr": "ksql_mario_fr", "stream_userid_count": "userid_count", "stream_userid_fav": "userid_fav",
+        "stream_userid_name_top1": "userid_name_top1", "stream_userid_name_top3": "userid_name_top3",
+        "stream_state_totals": "reconciliation", "stream_compacted": "reconciliation",
+    }
+    return batch | {stream: batch[name] for stream, name in same.items()}

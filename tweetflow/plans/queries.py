@@ -8,12 +8,12 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tweetflow import fixed, sinks
+from tweetflow import fixed, schemas, sinks
 from tweetflow.functions import epoch_ms, epoch_ms_to_date, millis
 from tweetflow.operators import changelog, reconcile, totals, tweets
 from tweetflow.session import shared_dir
 from tweetflow.sources import records, tables
-from tweetflow.streaming import feeds, live_reco, topics
+from tweetflow.streaming import feeds, named, running, state, topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 WAVES = 2
 LINES_PER_FILE = 100_000
 LOOKED_UP = "7"
+# The interval of the compacted changelog: the SQL feed's.
+COMPACT_MS = 2_000
 
 
 def _tweets(spark: SparkSession, sf_dir: str, also: list[str] | None = None) -> DataFrame:
@@ -96,7 +98,7 @@ def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed records exported to files of 100 rows and read back."""
     path = shared_dir(spark, "export")
     sinks.write_files(avro_user_records(spark, sf_dir), path)
-    return spark.read.parquet(path).select(*fixed.TOTALS)
+    return spark.read.schema(schemas.USER_RECORD).parquet(path).select(*fixed.TOTALS)
 
 
 def user_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,10 +211,10 @@ def reco_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _waves(measured: DataFrame) -> Iterator[tuple[int | None, int | None]]:
-    """Half-open ranges that cut a single-column frame into WAVES parts of about equal size."""
+    """Half-open ranges that cut a single-column frame into WAVES parts of about equal size; one without bounds if it has no value."""
     shares = F.array(*[F.lit(i / WAVES) for i in range(1, WAVES)])
     (cuts,) = measured.select(F.percentile_approx(measured.columns[0], shares)).first()
-    bounds = [None, *cuts, None]
+    bounds = [None, *(cuts or []), None]
     return zip(bounds[:-1], bounds[1:])
 
 
@@ -246,7 +248,7 @@ def stream_replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = topics.file_topic(spark, f"{path}/in", files_per_trigger=1)
         ids = lines.select(F.get_json_object("value", "$.id_str").alias("id_str"))
         sinks.append_stream(ids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN).awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return spark.read.schema("id_str string").parquet(f"{path}/out")
 
 
 def stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,12 +292,16 @@ def _fanned_out(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _branch(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.schema("key string, value string").parquet(f"{path}/{name}")
+
+
 def stream_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the three branches that one topic feeds."""
     path = _fanned_out(spark, sf_dir)
     branches = {
-        "transformed": spark.read.parquet(f"{path}/transformed"),
-        "mario": spark.read.parquet(f"{path}/mario"),
+        "transformed": _branch(spark, path, "transformed"),
+        "mario": _branch(spark, path, "mario"),
         "reconciliation": sinks.read_index(spark, f"{path}/index"),
     }
     counted = [rows.agg(F.lit(name).alias("branch"), F.count(F.lit(1)).alias("n")) for name, rows in branches.items()]
@@ -304,17 +310,17 @@ def stream_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the transformed branch wrote."""
-    return spark.read.parquet(f"{_fanned_out(spark, sf_dir)}/transformed").select("key", "value")
+    return _branch(spark, _fanned_out(spark, sf_dir), "transformed")
 
 
 def stream_mario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the keyword branch wrote."""
-    return spark.read.parquet(f"{_fanned_out(spark, sf_dir)}/mario").select("key", "value")
+    return _branch(spark, _fanned_out(spark, sf_dir), "mario")
 
 
 def stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last typed record the totals branch wrote of each user."""
-    log = spark.read.parquet(f"{_fanned_out(spark, sf_dir)}/typed")
+    log = spark.read.schema(schemas.with_batch(schemas.USER_RECORD)).parquet(f"{_fanned_out(spark, sf_dir)}/typed")
     return totals.latest_by_key(log, ["userID"], ["batch_id"]).select(*fixed.TOTALS)
 
 
@@ -329,8 +335,8 @@ def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select(F.get_json_object("value", "$.id_str").alias("id_str"), "reason")
 
 
-def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wins answered live while bids and wins arrive in the order of their time."""
+def _live_reco(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folder and name of a live reconciliation, bids and wins arriving in the order of their time."""
     path = shared_dir(spark, "reco")
 
     def instant(ms: int | None):
@@ -342,12 +348,105 @@ def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, make, column in (("bids", tables.bid_records, "l_shipdate"), ("wins", tables.win_records, "o_orderdate")):
             wave = make(spark, sf_dir, _between(column, instant(low), instant(high)))
             sinks.split_lines(wave, f"{path}/{name}", LINES_PER_FILE)
-        bids = records.parse_bids(topics.file_topic(spark, f"{path}/bids"), sequenced=True)
-        wins = records.parse_wins(topics.file_topic(spark, f"{path}/wins"))
-        live_reco.start_live_reco(
-            wins, bids, f"{path}/out", f"{path}/checkpoint", topics.DRAIN
+        statements = named.Statements(spark, path, _state_partitions(spark))
+        bids = records.parse_bids(topics.file_topic(statements.session, f"{path}/bids"), sequenced=True)
+        wins = records.parse_wins(topics.file_topic(statements.session, f"{path}/wins"))
+        statements.create_stream_as(_name(path, "reco"), running.live_reco(wins, bids), topics.DRAIN).awaitTermination()
+    return path, _name(path, "reco")
+
+
+def stream_reco(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wins answered live, by a stream that keeps each auction's last bid in its state."""
+    path, name = _live_reco(spark, sf_dir)
+    return named.Statements(spark, path).rows(name)
+
+
+def _name(path: str, name: str) -> str:
+    """A name that no other run has."""
+    return f"{name}_{path.rsplit('-', 1)[1]}"
+
+
+def _named(spark: SparkSession, sf_dir: str, name: str, define) -> tuple[named.Statements, str]:
+    """The SQL feed as named streams: tweets flattened under one name, and from that name what ``define`` makes of it.
+
+    Both queries are ended after each wave and go on from their checkpoints in the next.
+    """
+    path = shared_dir(spark, "named")
+    flat, derived = _name(path, "tweets_transformed"), _name(path, name)
+    for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
+        statements = named.Statements(spark, path, _state_partitions(spark))
+        raw = records.parse_sql_tweets(topics.file_topic(statements.session, f"{path}/in"))
+        statements.create_stream_as(flat, tweets.sql_tweets_transformed(raw), topics.DRAIN).awaitTermination()
+        define(statements, derived, statements.stream(flat)).awaitTermination()
+    return statements, derived
+
+
+def stream_ksql_mario_fr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL keyword feed as a named stream over the named stream of flattened tweets."""
+    statements, name = _named(spark, sf_dir, "mario_fr", lambda to, name, flat: to.create_stream_as(name, tweets.sql_keyword_feed(flat), topics.DRAIN))
+    return statements.rows(name)
+
+
+def _named_table(spark: SparkSession, sf_dir: str, name: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    statements, name = _named(spark, sf_dir, name, lambda to, name, flat: to.create_table_as(name, of(flat), topics.DRAIN))
+    return statements.table(name, "userid")
+
+
+def stream_userid_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tweets per user as a running table over a named stream."""
+    return _named_table(spark, sf_dir, "userid_count", lambda flat: totals.count_by(flat, "user_id", "count"))
+
+
+def stream_userid_fav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Favourites per user as a running table over a named stream."""
+    return _named_table(spark, sf_dir, "userid_fav", lambda flat: totals.sum_by(flat, "user_id", "fav", "fav"))
+
+
+def _running_top(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    top = _named_table(spark, sf_dir, f"userid_name_top{k}", lambda flat: running.running_top_k(flat, "user_id", "user_screen_name", k, "name"))
+    return top.withColumn("name", F.array_join("name", ","))
+
+
+def stream_userid_name_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greatest screen name per user as a running table."""
+    return _running_top(spark, sf_dir, 1)
+
+
+def stream_userid_name_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three greatest screen names per user, repeats kept, as a running table."""
+    return _running_top(spark, sf_dir, 3)
+
+
+def stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation read from the state of its stream after a restart."""
+    path = shared_dir(spark, "state")
+    for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
+        lines = topics.file_topic(spark, f"{path}/in")
+        feeds.start_reconciliation(
+            lines, [sinks.changelog_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN, _state_partitions(spark)
         ).awaitTermination()
-    return live_reco.read_answers(spark, f"{path}/out")
+    return state.user_totals(spark, f"{path}/checkpoint")
+
+
+def stream_state_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of last bids read from the state of the live reconciliation."""
+    path, name = _live_reco(spark, sf_dir)
+    return state.last_bids(spark, named.Statements(spark, path).checkpoint(name))
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation from a changelog that has each changed user once per interval of two seconds."""
+    path = shared_dir(spark, "compacted")
+    name = _name(path, "compacted")
+    for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
+        statements = named.Statements(spark, path, _state_partitions(spark))
+        read = records.parse_tweets(topics.file_topic(statements.session, f"{path}/in"))
+        query = statements.create_table_as(name, running.compacted_totals(read, COMPACT_MS), {"processingTime": "1 second"})
+        try:
+            running.await_quiet(query, COMPACT_MS)
+        finally:
+            query.stop()
+    return statements.table(name, "userID").select(*fixed.TOTALS)
 
 
 ALL: list[Query] = [
@@ -359,6 +458,8 @@ ALL: list[Query] = [
     bid_raw, win_raw, bid_proper_key, win_proper_key, tbid_latest_by_key, reco, reco_valid, reco_asof,
     stream_replay_rows, stream_reconciliation, upsert_snapshot, stream_fanout_counts, stream_reco,
     stream_transformed, stream_mario, stream_typed, rejected_by_reason,
+    stream_ksql_mario_fr, stream_userid_count, stream_userid_fav, stream_userid_name_top1, stream_userid_name_top3,
+    stream_state_totals, stream_state_bids, stream_compacted,
 ]
 
 

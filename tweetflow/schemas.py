@@ -70,3 +70,8 @@ USER_RECORD_AVRO = json.dumps(
 def subset(schema: T.StructType, names: list[str]) -> T.StructType:
     """The named top-level fields of a schema, in schema order."""
     return T.StructType([field for field in schema.fields if field.name in names])
+
+
+def with_batch(schema: T.StructType) -> T.StructType:
+    """A schema with the micro-batch that wrote each row."""
+    return T.StructType([*schema.fields, T.StructField("batch_id", _LONG)])

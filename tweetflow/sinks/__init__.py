@@ -209,13 +209,13 @@ def create_table_as(rows: DataFrame, name: str, path: str) -> None:
     place = f"{path}/{uuid.uuid4().hex}"
     rows.write.parquet(place)
     rows.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    rows.sparkSession.catalog.createTable(name, place, "parquet")
+    rows.sparkSession.catalog.createTable(name, place, "parquet", rows.schema)
 
 
 def store_stream_as(rows: DataFrame, name: str, path: str, key: str, partitions: int = PARTITIONS) -> DataFrame:
     """Store a query as a named stream partitioned by a key, and read it back under its name."""
     rows.withColumn("partition", partition_of(key, partitions)).write.mode("errorifexists").partitionBy("partition").parquet(path)
-    rows.sparkSession.read.parquet(path).drop("partition").createOrReplaceTempView(name)
+    rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns).createOrReplaceTempView(name)
     return rows.sparkSession.table(name)
 
 
