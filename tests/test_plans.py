@@ -5,7 +5,11 @@ import re
 import pytest
 from conftest import SF_DIR
 
+from tweetflow import sinks
+from tweetflow.operators import reconcile
 from tweetflow.plans import queries as q
+from tweetflow.session import shared_dir
+from tweetflow.sources import records, tables
 
 
 def plan(frame):
@@ -67,3 +71,22 @@ def test_no_cartesian_joins_and_no_python(spark):
         text = plan(query(spark, SF_DIR))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
             assert word not in text, (query.__name__, word)
+
+
+def test_copartitioned_tables_are_joined_without_a_shuffle(spark):
+    path = shared_dir(spark, "buckets")
+    run = path.rsplit("-", 1)[1]
+    bids = records.parse_bids(tables.bid_records(spark, SF_DIR), sequenced=True)
+    wins = reconcile.win_proper_key(records.parse_wins(tables.win_records(spark, SF_DIR)))
+    for buckets in (1, 5):
+        b = sinks.store_copartitioned(bids, f"b{buckets}_{run}", f"{path}/b{buckets}", "id", buckets)
+        w = sinks.store_copartitioned(wins, f"w{buckets}_{run}", f"{path}/w{buckets}", "auctid", buckets)
+        joined = reconcile.reco_copartitioned(w, b)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") >= 2 and "SortMergeJoin" in plan
+        assert sorted(map(tuple, joined.collect()), key=repr) == sorted(
+            map(tuple, reconcile.reco(wins, reconcile.bid_table(bids)).collect()), key=repr
+        )
+        # One file per bucket.
+        assert spark.read.parquet(f"{path}/b{buckets}").select("_metadata.file_path").distinct().count() == buckets

@@ -171,6 +171,7 @@ def oracle_sql() -> dict[str, str]:
         "win_proper_key": _BIDS + 'SELECT auctid, "winPrice" FROM wins',
         "tbid_latest_by_key": _BIDS + "SELECT * FROM last_bid",
         "reco": _BIDS + "SELECT * FROM reco",
+        "reco_copartitioned": _BIDS + "SELECT * FROM reco",
         "reco_valid": _BIDS + "SELECT * FROM reco WHERE cP >= 0",
         "reco_asof": _ASOF,
         "stream_replay_rows": _TWEETS + "SELECT id_str FROM tweets",

@@ -198,6 +198,16 @@ def reco(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reco(_wins(spark, sf_dir), tbid_latest_by_key(spark, sf_dir))
 
 
+def reco_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bids and wins stored under their proper keys in equal buckets, and joined bucket by bucket."""
+    path = shared_dir(spark, "copartitioned")
+    bids, wins = _bids(spark, sf_dir), reconcile.win_proper_key(_wins(spark, sf_dir))
+    buckets = sinks.bucket_count(tables.table(spark, sf_dir, "lineitem"), tables.table(spark, sf_dir, "orders"))
+    stored_bids = sinks.store_copartitioned(bids, _name(path, "bids"), f"{path}/bids", "id", buckets)
+    stored_wins = sinks.store_copartitioned(wins, _name(path, "wins"), f"{path}/wins", "auctid", buckets)
+    return reconcile.reco_copartitioned(stored_wins, stored_bids)
+
+
 def reco_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reco_valid(reco(spark, sf_dir))
 
@@ -455,7 +465,7 @@ ALL: list[Query] = [
     file_sink_roundtrip, user_lookup, changelog_by_interval, changelog_to_table,
     ksql_tweets_raw, ksql_tweets_transformed, ksql_mario_fr, userid_count, userid_fav, userid_name_top1,
     userid_name_top3, ctas_overwrite,
-    bid_raw, win_raw, bid_proper_key, win_proper_key, tbid_latest_by_key, reco, reco_valid, reco_asof,
+    bid_raw, win_raw, bid_proper_key, win_proper_key, tbid_latest_by_key, reco, reco_copartitioned, reco_valid, reco_asof,
     stream_replay_rows, stream_reconciliation, upsert_snapshot, stream_fanout_counts, stream_reco,
     stream_transformed, stream_mario, stream_typed, rejected_by_reason,
     stream_ksql_mario_fr, stream_userid_count, stream_userid_fav, stream_userid_name_top1, stream_userid_name_top3,

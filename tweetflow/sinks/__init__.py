@@ -22,6 +22,8 @@ from tweetflow.operators.tweets import keyed_json, user_records
 
 # An index has one bucket for so many keys, and so many at least; every so many micro-batches it is written whole.
 KEYS_PER_BUCKET, LEAST_BUCKETS, WHOLE_EVERY = 10_000_000, 16, 16
+# Rows of a bucket of co-partitioned tables.
+ROWS_PER_BUCKET = 2_000_000
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -219,6 +221,22 @@ def store_stream_as(rows: DataFrame, name: str, path: str, key: str, partitions:
     return rows.sparkSession.table(name)
 
 
+def store_copartitioned(rows: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Store rows as a named table partitioned by a key into so many buckets, each one sorted file.
+
+    Tables of equal bucket numbers are joined on the key, and grouped by it, without a shuffle; the one here is paid once, at
+    writing. A key's rows are in one bucket, so for keys that hold a large share of all rows a join that may split them is
+    the better one.
+    """
+    rows.repartition(buckets, key).write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
+def bucket_count(*tables: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets for tables that are to be joined: by the rows of the largest."""
+    return max(1, *(-(-table.count() // rows_per_bucket) for table in tables))
+
+
 def send_stream(records: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Send a stream of (key, value) records to a broker; needs the Kafka package on the classpath."""
     return (
