@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tweetflow import schemas, sinks
 from tweetflow.operators import tweets
 from tweetflow.session import shared_dir
+from tweetflow.sinks import export
 
 
 def users(spark, n=1000, partitions=3):
@@ -177,3 +178,47 @@ def test_every_core_writes_the_index(spark):
     sinks.index_writer(path, buckets=2)(users(spark, 400).repartition(4), 0)
     assert spark.read.parquet(path).select("_metadata.file_path").distinct().count() == 4 * 2
     assert sinks.read_index(spark, path).count() == 400
+
+
+def test_export_files_fill_up_over_micro_batches(spark):
+    path = shared_dir(spark, "rolling")
+    schema = "userID string, v long"
+    write = export.rolling_writer(path, rows_per_file=10, partitions=3)
+
+    def batch(low, high):
+        # One key with most rows, and one without a key.
+        return spark.range(low, high, numPartitions=4).selectExpr("IF(id % 3 < 2, 'hot', IF(id % 2 = 0, CAST(id AS string), NULL)) AS userID", "id AS v")
+
+    def state():
+        files = export.read_files(spark, path, batch(0, 1).schema).select("*", "_metadata.file_path").collect()
+        waiting = export.read_waiting(spark, path, batch(0, 1).schema).collect()
+        return files, waiting
+
+    def check(high):
+        files, waiting = state()
+        assert sorted(r["v"] for r in [*files, *waiting]) == list(range(high))
+        folders = {}
+        for r in files:
+            assert r["first_offset"] == r["offset"] - r["offset"] % 10
+            folders.setdefault((r["partition"], r["first_offset"]), []).append((r["file_path"], r["offset"]))
+        for (_, first), found in folders.items():
+            assert len({file for file, _ in found}) == 1 and [offset for _, offset in found] == list(range(first, first + 10))
+        for partition in {r["partition"] for r in [*files, *waiting]}:
+            offsets = sorted(r["offset"] for r in [*files, *waiting] if r["partition"] == partition)
+            assert offsets == list(range(len(offsets)))
+            assert sum(r["partition"] == partition for r in waiting) < 10
+        return set(folders)
+
+    write(batch(0, 57), 0)
+    first = check(57)
+    write(batch(57, 58), 1)
+    assert check(58) >= first
+    write(batch(58, 200), 2)
+    names = check(200)
+    # Run again, a micro-batch writes the same folders.
+    write(batch(58, 200), 2)
+    assert check(200) == names
+    write(spark.createDataFrame([], schema), 3)
+    assert check(200) == names
+    write(batch(200, 203), 4)
+    check(203)

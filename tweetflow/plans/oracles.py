@@ -195,5 +195,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_ksql_mario_fr": "ksql_mario_fr", "stream_userid_count": "userid_count", "stream_userid_fav": "userid_fav",
         "stream_userid_name_top1": "userid_name_top1", "stream_userid_name_top3": "userid_name_top3",
         "stream_state_totals": "reconciliation", "stream_compacted": "reconciliation",
+        "stream_export": "tweet_transformed", "stream_rejected": "rejected_by_reason",
     }
     return batch | {stream: batch[name] for stream, name in same.items()}

@@ -12,6 +12,7 @@ from tweetflow import fixed, schemas, sinks
 from tweetflow.functions import epoch_ms, epoch_ms_to_date, millis
 from tweetflow.operators import changelog, reconcile, totals, tweets
 from tweetflow.session import shared_dir
+from tweetflow.sinks import export
 from tweetflow.sources import records, tables
 from tweetflow.streaming import feeds, named, running, state, topics
 
@@ -286,46 +287,37 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_index(spark, f"{path}/index")
 
 
-def _fanned_out(spark: SparkSession, sf_dir: str) -> str:
-    """One topic through all its branches: transformed tweets, the keyword feed, and totals indexed and as typed records."""
+def _fanned_out(spark: SparkSession, sf_dir: str, spoilt: bool = False) -> str:
+    """One topic read once for all branches: transformed tweets, keyword feed, rejects, and totals indexed and as typed records."""
     path = shared_dir(spark, "fanout")
-    for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
-        lines = topics.file_topic(spark, f"{path}/in")
+    for low, high in _waves(tables.table(spark, sf_dir, "events").select("event_id")):
+        raw = tables.tweet_records(spark, sf_dir, _between("event_id", low, high))
+        sinks.split_lines(_spoilt(raw) if spoilt else raw, f"{path}/in", LINES_PER_FILE)
+        feeds.start_topology(topics.file_topic(spark, f"{path}/in"), path, f"{path}/checkpoint", topics.DRAIN).awaitTermination()
         writers = [sinks.index_writer(f"{path}/index"), sinks.typed_writer(f"{path}/typed")]
-        running = [
-            feeds.start_transformed(lines, f"{path}/transformed", f"{path}/checkpoint-transformed", topics.DRAIN),
-            feeds.start_keyword_feed(lines, f"{path}/mario", f"{path}/checkpoint-mario", topics.DRAIN),
-            feeds.start_reconciliation(lines, writers, f"{path}/checkpoint-totals", topics.DRAIN, _state_partitions(spark)),
-        ]
-        for query in running:
-            query.awaitTermination()
+        feeds.start_totals(
+            spark, path, writers, f"{path}/checkpoint-totals", topics.DRAIN, _state_partitions(spark)
+        ).awaitTermination()
     return path
 
 
-def _branch(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema("key string, value string").parquet(f"{path}/{name}")
-
-
 def stream_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the three branches that one topic feeds."""
     path = _fanned_out(spark, sf_dir)
-    branches = {
-        "transformed": _branch(spark, path, "transformed"),
-        "mario": _branch(spark, path, "mario"),
-        "reconciliation": sinks.read_index(spark, f"{path}/index"),
-    }
+    branches = {name: feeds.read_output(spark, path, name) for name in ("transformed", "mario")}
+    branches["reconciliation"] = sinks.read_index(spark, f"{path}/index")
     counted = [rows.agg(F.lit(name).alias("branch"), F.count(F.lit(1)).alias("n")) for name, rows in branches.items()]
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 def stream_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the transformed branch wrote."""
-    return _branch(spark, _fanned_out(spark, sf_dir), "transformed")
+    return feeds.read_output(spark, _fanned_out(spark, sf_dir), "transformed")
 
 
 def stream_mario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the keyword branch wrote."""
-    return _branch(spark, _fanned_out(spark, sf_dir), "mario")
+    return feeds.read_output(spark, _fanned_out(spark, sf_dir), "mario")
 
 
 def stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,14 +326,24 @@ def stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.latest_by_key(log, ["userID"], ["batch_id"]).select(*fixed.TOTALS)
 
 
-def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tweets set aside after one in 97 was made unreadable and one in 89 lost a needed field."""
-    raw = tables.tweet_records(spark, sf_dir)
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records the running topology set aside, of a topic in which some are spoilt."""
+    rejected = feeds.read_output(spark, _fanned_out(spark, sf_dir, spoilt=True), "rejected")
+    return rejected.select(F.get_json_object("value", "$.id_str").alias("id_str"), "reason")
+
+
+def _spoilt(raw: DataFrame) -> DataFrame:
+    """Tweets of which one in 97 is made unreadable and one in 89 loses a needed field."""
     number = F.get_json_object("value", "$.id").cast("bigint")
     broken = F.when(number % 97 == 0, F.concat(F.lit("no JSON "), number)).when(
         number % 89 == 0, F.regexp_replace("value", '"favorite_count":[-0-9]+,', "")
     )
-    rejected = records.rejected_tweets(raw.withColumn("value", F.coalesce(broken, "value")))
+    return raw.withColumn("value", F.coalesce(broken, "value"))
+
+
+def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tweets set aside after one in 97 was made unreadable and one in 89 lost a needed field."""
+    rejected = records.rejected_tweets(_spoilt(tables.tweet_records(spark, sf_dir)))
     return rejected.select(F.get_json_object("value", "$.id_str").alias("id_str"), "reason")
 
 
@@ -427,6 +429,17 @@ def stream_userid_name_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _running_top(spark, sf_dir, 3)
 
 
+def stream_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transformed tweets exported to files of 100 rows that fill up over micro-batches; all rows read back."""
+    path = shared_dir(spark, "export")
+    for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
+        rows = tweets.tweet_transformed(records.parse_tweets(topics.file_topic(spark, f"{path}/in")))
+        sinks.batch_stream(rows, [export.rolling_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+    schema = rows.schema
+    filled, waiting = export.read_files(spark, f"{path}/out", schema), export.read_waiting(spark, f"{path}/out", schema)
+    return filled.select(*schema.names).unionByName(waiting.select(*schema.names))
+
+
 def stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation read from the state of its stream after a restart."""
     path = shared_dir(spark, "state")
@@ -469,7 +482,7 @@ ALL: list[Query] = [
     stream_replay_rows, stream_reconciliation, upsert_snapshot, stream_fanout_counts, stream_reco,
     stream_transformed, stream_mario, stream_typed, rejected_by_reason,
     stream_ksql_mario_fr, stream_userid_count, stream_userid_fav, stream_userid_name_top1, stream_userid_name_top3,
-    stream_state_totals, stream_state_bids, stream_compacted,
+    stream_state_totals, stream_state_bids, stream_compacted, stream_export, stream_rejected,
 ]
 
 

@@ -246,6 +246,20 @@ def send_stream(records: DataFrame, servers: str, topic: str, checkpoint: str, t
     )
 
 
+def batch_stream(rows: DataFrame, writers: list[BatchWriter], checkpoint: str, trigger: dict, mode: str = "append") -> StreamingQuery:
+    """Hand every micro-batch of a stream to writers, computed once for all of them."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for write in writers:
+                write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return rows.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def append_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict, fmt: str = "parquet") -> StreamingQuery:
     """Write a stream of new rows to files; each row lands exactly once."""
     return (

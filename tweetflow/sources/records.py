@@ -64,6 +64,17 @@ def parse_tweets(records: DataFrame, also: list[str] | None = None, mode: str =
     return tweets.where(complete)
 
 
+def judged_tweets(records: DataFrame, also: list[str]) -> DataFrame:
+    """Records as they came, their fields, and why the tweet operators leave one out (``reason``, NULL for the others)."""
+    opened = open_json(records, schemas.subset(schemas.TWEET, TWEET_CORE + also), keep=("key", "value"))
+    return opened.withColumn("reason", _why_left_out(TWEET_CORE + also))
+
+
+def _why_left_out(names: list[str]) -> Column:
+    something_read = F.coalesce(*[F.when(F.col(name).isNotNull(), F.lit(True)) for name in names])
+    return F.when(something_read.isNull(), F.lit("malformed")).when(~_tweet_is_complete(), F.lit("incomplete"))
+
+
 def rejected_tweets(records: DataFrame, feed: bool = False) -> DataFrame:
     """The records ``parse_tweets`` leaves out, as they came, with the reason.
 
@@ -71,8 +82,7 @@ def rejected_tweets(records: DataFrame, feed: bool = False) -> DataFrame:
     """
     names = TWEET_CORE + ["id_str", "timestamp_ms"]
     opened = open_json(records, schemas.subset(schemas.TWEET, names), keep=("key", "value"))
-    something_read = F.coalesce(*[F.when(F.col(name).isNotNull(), F.lit(True)) for name in names])
-    reason = F.when(something_read.isNull(), F.lit("malformed")).when(~_tweet_is_complete(), F.lit("incomplete"))
+    reason = _why_left_out(names)
     if feed:
         reason = reason.when(~feed_is_complete(), F.lit("incomplete"))
         reason = reason.when(millis(F.col("timestamp_ms")).isNull(), F.lit("undated"))

@@ -6,15 +6,17 @@ application id: started again on the same checkpoint, it goes on where it stoppe
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tweetflow.fixed import COMPACTION, MARIO, TRANSFORMED
 from tweetflow.operators.totals import totals_from_deltas, user_deltas
 from tweetflow.operators.tweets import MARIO_FIELDS, keyed_json, keyword_feed, tweet_transformed
 from tweetflow.session import settings, state_settings
-from tweetflow.sinks import BatchWriter, append_stream
-from tweetflow.sources.records import parse_tweets
+from tweetflow.sinks import BatchWriter, append_stream, batch_stream
+from tweetflow.sources.records import judged_tweets, parse_tweets
+from tweetflow.streaming.running import batch_sums, totals_of_batches
 
 
 def start_transformed(records: DataFrame, path: str, checkpoint: str, trigger: dict = COMPACTION) -> StreamingQuery:
@@ -37,17 +39,51 @@ def start_reconciliation(
     session's shuffle partitions); the checkpoint fixes their number on the first start.
     """
     totals = totals_from_deltas(user_deltas(parse_tweets(records)))
+    with settings(records.sparkSession, state_settings(state_partitions)):
+        return batch_stream(totals, writers, checkpoint, trigger, "update")
+
+
+# Where a topology writes what; the sums of its micro-batches are read on by the totals.
+SUMMED = "userID string, count long, fav long, hashtags long, mentioned long, ord long, name string, batch_id long"
+
+
+def start_topology(records: DataFrame, path: str, checkpoint: str, trigger: dict = COMPACTION) -> StreamingQuery:
+    """One read and one parse of a topic for all it feeds, each below ``path`` in a folder of the micro-batch.
+
+    ``transformed`` and ``mario`` are keyed JSON, ``rejected`` has the records that are left out with the reason, and ``sums``
+    what each user's totals grow by, which ``start_totals`` reads. A micro-batch that runs again replaces its folders.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for write in writers:
-                write(batch, batch_id)
+            accepted = batch.where("reason IS NULL")
+            outputs = {
+                "transformed": keyed_json(tweet_transformed(accepted), "userID", TRANSFORMED),
+                "mario": keyed_json(keyword_feed(accepted), None, MARIO),
+                "rejected": batch.where("reason IS NOT NULL").select("key", "value", "reason"),
+                "sums": batch_sums(accepted).withColumn("batch_id", F.lit(batch_id).cast("long")),
+            }
+            for name, rows in outputs.items():
+                rows.write.mode("overwrite").parquet(f"{path}/{name}/{batch_id:09}")
         finally:
             batch.unpersist()
 
-    with settings(records.sparkSession, state_settings(state_partitions)):
-        return (
-            totals.writeStream.outputMode("update").foreachBatch(each)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-        )
+    judged = judged_tweets(records, MARIO_FIELDS)
+    return judged.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def start_totals(
+    spark: SparkSession, path: str, writers: list[BatchWriter], checkpoint: str, trigger: dict = COMPACTION,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Running totals per user from what a topology writes below ``path``; every writer gets the users that changed."""
+    sums = spark.readStream.schema(SUMMED).option("recursiveFileLookup", "true").parquet(f"{path}/sums")
+    with settings(spark, state_settings(state_partitions)):
+        return batch_stream(totals_of_batches(sums), writers, checkpoint, trigger, "update")
+
+
+def read_output(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """What a topology has written of one output: (key, value), and the reason of a rejected record."""
+    schema = "key string, value string" + (", reason string" if name == "rejected" else "")
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{name}")

@@ -114,6 +114,45 @@ SUMS = ["count", "fav", "hashtags", "mentioned"]
 _NEVER = 2**63 - 1
 
 
+class _Totals(StatefulProcessor):
+    """Running totals of a user from one row per micro-batch; a row of a micro-batch that was counted is passed over."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", ", ".join(f"{c} long" for c in SUMS) + ", ord long, name string, batch_id long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        *sums, first, name, counted = self.totals.get() or (0, 0, 0, 0, _NEVER, None, -1)
+        new = sorted((row for row in rows if row.batch_id > counted), key=lambda row: row.batch_id)
+        for row in new:
+            if row.batch_id > counted:
+                sums, counted = [total + row[c] for total, c in zip(sums, SUMS)], row.batch_id
+                if row.ord < first:
+                    first, name = row.ord, row["name"]
+        if new:
+            self.totals.update((*sums, first, name, counted))
+            if sums[0]:
+                yield Row(userID=key[0], count=sums[0], fav=sums[1], hashtags=sums[2], name=name, mentioned=sums[3])
+
+    def close(self) -> None:
+        pass
+
+
+def batch_sums(tweets: DataFrame) -> DataFrame:
+    """What tweets add to each user: sums, and the least tweet id with its name."""
+    sums = [F.sum(c).alias(c) for c in SUMS]
+    users = user_deltas(tweets).groupBy("userID").agg(*sums, F.min("first").alias("first"))
+    return users.select("userID", *SUMS, F.coalesce("first.ord", F.lit(_NEVER)).alias("ord"), F.col("first.name").alias("name"))
+
+
+def totals_of_batches(sums: DataFrame) -> DataFrame:
+    """Running totals from a stream of ``batch_sums`` with the micro-batch of each, every changed user once.
+
+    A micro-batch whose sums arrive again, as it was written twice, counts once.
+    """
+    out = ", ".join(f"{c} {'string' if c in ('userID', 'name') else 'long'}" for c in TOTALS)
+    return sums.groupBy("userID").transformWithState(_Totals(), out, "update", "none")
+
+
 class _HeldBack(StatefulProcessor):
     """Running totals of a user; a changed user is due at the end of the interval in which it first changed."""
 
