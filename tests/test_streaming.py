@@ -9,8 +9,8 @@ from conftest import rows, tweet
 from pyspark.sql import functions as F
 
 from tweetflow import sinks
-from tweetflow.fixed import PACED
-from tweetflow.operators import reconcile, totals
+from tweetflow.fixed import MARIO, PACED, TRANSFORMED
+from tweetflow.operators import reconcile, totals, tweets
 from tweetflow.session import settings, shared_dir
 from tweetflow.sources import records as source
 from tweetflow.streaming import feeds, named, running, state, topics
@@ -150,6 +150,47 @@ def test_fan_out_on_one_topic(spark):
     assert [(r["key"], json.loads(r["value"])["id"]) for r in feed] == [(None, "1")]
 
 
+def run_topology(spark, path):
+    query = feeds.start_topology(topics.file_topic(spark, f"{path}/in"), path, f"{path}/c", topics.DRAIN)
+    query.awaitTermination()
+    writers = [sinks.index_writer(f"{path}/index"), sinks.typed_writer(f"{path}/typed")]
+    feeds.start_totals(spark, path, writers, f"{path}/ct", topics.DRAIN, 2).awaitTermination()
+    return query
+
+
+def test_one_read_feeds_all_outputs(spark, records):
+    path = shared_dir(spark, "topology")
+    waves = [
+        [tweet(5, user="1", name="B", text="Mario", mentions=["2", "9"], fav=3), "{no json", tweet(2, user="2", lang="en", text="mario")],
+        [tweet(1, user="1", name="A", text="x"), '{"id": 7, "lang": "fr"}', tweet(6, user="3", text="MARIO", timestamp_ms="soon", mentions=["1"])],
+    ]
+    for wave in waves:
+        publish(spark, f"{path}/in", *wave)
+        query = run_topology(spark, path)
+    raw = records(*waves[0], *waves[1])
+    tweets_ = source.parse_tweets(raw, tweets.MARIO_FIELDS)
+    out = {name: feeds.read_output(spark, path, name) for name in ("transformed", "mario", "rejected")}
+    assert rows(out["transformed"]) == rows(tweets.keyed_json(tweets.tweet_transformed(tweets_), "userID", TRANSFORMED))
+    assert rows(out["mario"]) == rows(tweets.keyed_json(tweets.keyword_feed(tweets_), None, MARIO))
+    assert rows(out["rejected"]) == rows(source.rejected_tweets(raw))
+    assert rows(sinks.read_index(spark, f"{path}/index")) == expected(records, *waves[0], *waves[1])
+    plan = query._jsq.explainInternal(True)
+    assert plan.split("== Physical Plan ==")[1].count("FileScan") == 1
+
+
+def test_sums_that_arrive_again_count_once(spark, records):
+    """A micro-batch written a second time, as after a crash before its commit, in files of other names."""
+    path = shared_dir(spark, "again")
+    first, second = [tweet(1, user="1", fav=2, mentions=["2"])], [tweet(2, user="2", fav=1), tweet(3, user="1", fav=5)]
+    publish(spark, f"{path}/in", *first)
+    run_topology(spark, path)
+    sums = running.batch_sums(source.parse_tweets(records(*first))).withColumn("batch_id", F.lit(0).cast("long"))
+    sums.write.mode("overwrite").parquet(f"{path}/sums/{0:09}")
+    publish(spark, f"{path}/in", *second)
+    run_topology(spark, path)
+    assert rows(sinks.read_index(spark, f"{path}/index")) == expected(records, *first, *second)
+
+
 def test_console_writer_prints_every_row(spark, tmp_path):
     path = shared_dir(spark, "console")
     lines = str(tmp_path / "lines")

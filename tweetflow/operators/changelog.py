@@ -15,7 +15,7 @@ def changelog_by_interval(tweets: DataFrame, interval: Column) -> DataFrame:
 
     The deltas are summed per (user, interval) before the running sum, so the window holds at most
     one row per interval for a user, however many tweets there were. ``interval`` must order as text
-    or number the way time does; tweets without one are left out.
+    or number the way time does; tweets without one are left out (``rejected_tweets`` with ``dated`` returns them).
     """
     deltas = user_deltas(tweets, interval.alias("bucket")).where("bucket IS NOT NULL")
     per_interval = deltas.groupBy("userID", "bucket").agg(

@@ -21,6 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Streams are fed in this many steps; each step is one run of the stream to its end.
 WAVES = 2
 LINES_PER_FILE = 100_000
+# So many files make a micro-batch at most.
+FILES_PER_TRIGGER = 64
 LOOKED_UP = "7"
 # The interval of the compacted changelog: the SQL feed's.
 COMPACT_MS = 2_000
@@ -246,6 +248,11 @@ def _state_partitions(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _topic(spark: SparkSession, path: str) -> DataFrame:
+    """A topic folder as a stream, in micro-batches of bounded size."""
+    return topics.file_topic(spark, path, files_per_trigger=FILES_PER_TRIGGER)
+
+
 def _tweet_waves(spark: SparkSession, sf_dir: str, path: str, lines: int = LINES_PER_FILE) -> Iterator[None]:
     for low, high in _waves(tables.table(spark, sf_dir, "events").select("event_id")):
         sinks.split_lines(tables.tweet_records(spark, sf_dir, _between("event_id", low, high)), path, lines)
@@ -266,7 +273,7 @@ def stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation kept by a stream; its changelog of keyed JSON turned back into the table."""
     path = shared_dir(spark, "reconciliation")
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
-        lines = topics.file_topic(spark, f"{path}/in")
+        lines = _topic(spark, f"{path}/in")
         writers = [sinks.changelog_writer(f"{path}/out")]
         feeds.start_reconciliation(
             lines, writers, f"{path}/checkpoint", topics.DRAIN, _state_partitions(spark)
@@ -279,7 +286,7 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation kept by a stream and upserted into an index; the index as it stands."""
     path = shared_dir(spark, "upsert")
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
-        lines = topics.file_topic(spark, f"{path}/in")
+        lines = _topic(spark, f"{path}/in")
         writers = [sinks.index_writer(f"{path}/index"), sinks.typed_writer(f"{path}/typed")]
         feeds.start_reconciliation(
             lines, writers, f"{path}/checkpoint", topics.DRAIN, _state_partitions(spark)
@@ -293,7 +300,7 @@ def _fanned_out(spark: SparkSession, sf_dir: str, spoilt: bool = False) -> str:
     for low, high in _waves(tables.table(spark, sf_dir, "events").select("event_id")):
         raw = tables.tweet_records(spark, sf_dir, _between("event_id", low, high))
         sinks.split_lines(_spoilt(raw) if spoilt else raw, f"{path}/in", LINES_PER_FILE)
-        feeds.start_topology(topics.file_topic(spark, f"{path}/in"), path, f"{path}/checkpoint", topics.DRAIN).awaitTermination()
+        feeds.start_topology(_topic(spark, f"{path}/in"), path, f"{path}/checkpoint", topics.DRAIN).awaitTermination()
         writers = [sinks.index_writer(f"{path}/index"), sinks.typed_writer(f"{path}/typed")]
         feeds.start_totals(
             spark, path, writers, f"{path}/checkpoint-totals", topics.DRAIN, _state_partitions(spark)
@@ -361,6 +368,7 @@ def _live_reco(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
             wave = make(spark, sf_dir, _between(column, instant(low), instant(high)))
             sinks.split_lines(wave, f"{path}/{name}", LINES_PER_FILE)
         statements = named.Statements(spark, path, _state_partitions(spark))
+        # A wave is one micro-batch: cut at files, bids and wins of one time would arrive at different ones.
         bids = records.parse_bids(topics.file_topic(statements.session, f"{path}/bids"), sequenced=True)
         wins = records.parse_wins(topics.file_topic(statements.session, f"{path}/wins"))
         statements.create_stream_as(_name(path, "reco"), running.live_reco(wins, bids), topics.DRAIN).awaitTermination()
@@ -387,7 +395,7 @@ def _named(spark: SparkSession, sf_dir: str, name: str, define) -> tuple[named.S
     flat, derived = _name(path, "tweets_transformed"), _name(path, name)
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
         statements = named.Statements(spark, path, _state_partitions(spark))
-        raw = records.parse_sql_tweets(topics.file_topic(statements.session, f"{path}/in"))
+        raw = records.parse_sql_tweets(_topic(statements.session, f"{path}/in"))
         statements.create_stream_as(flat, tweets.sql_tweets_transformed(raw), topics.DRAIN).awaitTermination()
         define(statements, derived, statements.stream(flat)).awaitTermination()
     return statements, derived
@@ -433,7 +441,7 @@ def stream_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transformed tweets exported to files of 100 rows that fill up over micro-batches; all rows read back."""
     path = shared_dir(spark, "export")
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
-        rows = tweets.tweet_transformed(records.parse_tweets(topics.file_topic(spark, f"{path}/in")))
+        rows = tweets.tweet_transformed(records.parse_tweets(_topic(spark, f"{path}/in")))
         sinks.batch_stream(rows, [export.rolling_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN).awaitTermination()
     schema = rows.schema
     filled, waiting = export.read_files(spark, f"{path}/out", schema), export.read_waiting(spark, f"{path}/out", schema)
@@ -444,7 +452,7 @@ def stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation read from the state of its stream after a restart."""
     path = shared_dir(spark, "state")
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
-        lines = topics.file_topic(spark, f"{path}/in")
+        lines = _topic(spark, f"{path}/in")
         feeds.start_reconciliation(
             lines, [sinks.changelog_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN, _state_partitions(spark)
         ).awaitTermination()
@@ -463,7 +471,7 @@ def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _name(path, "compacted")
     for _ in _tweet_waves(spark, sf_dir, f"{path}/in"):
         statements = named.Statements(spark, path, _state_partitions(spark))
-        read = records.parse_tweets(topics.file_topic(statements.session, f"{path}/in"))
+        read = records.parse_tweets(_topic(statements.session, f"{path}/in"))
         query = statements.create_table_as(name, running.compacted_totals(read, COMPACT_MS), {"processingTime": "1 second"})
         try:
             running.await_quiet(query, COMPACT_MS)

@@ -75,16 +75,18 @@ def _why_left_out(names: list[str]) -> Column:
     return F.when(something_read.isNull(), F.lit("malformed")).when(~_tweet_is_complete(), F.lit("incomplete"))
 
 
-def rejected_tweets(records: DataFrame, feed: bool = False) -> DataFrame:
+def rejected_tweets(records: DataFrame, feed: bool = False, dated: bool = False) -> DataFrame:
     """The records ``parse_tweets`` leaves out, as they came, with the reason.
 
-    ``feed`` adds the ones that only the keyword feed leaves out, for want of a readable time or a field.
+    ``feed`` adds the ones that only the keyword feed leaves out, for want of a readable time or a field; ``dated`` the ones
+    that a changelog by interval leaves out, for want of a readable time.
     """
     names = TWEET_CORE + ["id_str", "timestamp_ms"]
     opened = open_json(records, schemas.subset(schemas.TWEET, names), keep=("key", "value"))
     reason = _why_left_out(names)
     if feed:
         reason = reason.when(~feed_is_complete(), F.lit("incomplete"))
+    if feed or dated:
         reason = reason.when(millis(F.col("timestamp_ms")).isNull(), F.lit("undated"))
     return opened.select("key", "value", reason.alias("reason")).where("reason IS NOT NULL")
 

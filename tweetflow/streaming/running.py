@@ -83,7 +83,10 @@ class _LastBid(StatefulProcessor):
                     bids[row.timestamp] = order, row.cP
         if not bids and not wins:
             return
-        last, times = self.last.get(), sorted(bids)
+        times = sorted(bids)
+        # State is asked only for wins that no bid of the micro-batch answers.
+        asked = any(not times or timestamp < times[0] for timestamp, _ in wins)
+        last = self.last.get() if asked else None
         known = last[0] if last else None
         for timestamp, price in wins:
             at = bisect_right(times, timestamp)
