@@ -72,8 +72,8 @@ def count_tokens(docs: DataFrame, model: str, cache: str, carry: list[str], limi
     model: a file of the sentencepiece (.model) or tokenizers (.json) library, at the same path on every machine.
     cache: a folder all machines share. Counts are stored under (digest of the content, digest of the model's
     file). Content is the UTF-8 text as it is, null as the empty text; any further normalising would change counts.
-    Texts the cache does not have are encoded once however many rows hold them: of each digest one document is
-    chosen from ids and digests alone, and only chosen texts are shuffled. New counts are appended before they are
+    Of texts the cache does not have the rows of one id are encoded, however many ids hold them: it is chosen from ids and
+    digests alone. The join that finds its texts shuffles all of them. New counts are appended before they are
     read. Copies meet only as narrow rows, which adaptive execution may split. Repeated rows get the same counts. No
     rows: no rows, and nothing is appended.
     """
