@@ -46,8 +46,9 @@ def assign(docs: DataFrame, shards: int = 16, carry: list[str] | None = None) ->
 
     size: the text's bytes in UTF-8, null none, and 1. The key is a hash of the text, so equal texts are one group and lie
     side by side in the order of keys. Splitters are drawn from the keys in proportion to size; exact bytes and rows are
-    then summed by range. A range with more than its share of either is subdivided by a hash of the id, so a group of
-    copies with a third of all rows is spread over as many parts as it fills. Parts in order are dealt to shards by
+    then summed by range. A range with more than its share of either is subdivided by a second hash of the key, so equal
+    texts stay together; one that is a single key, by a hash of the id, so a group of copies with a third of all rows is
+    spread over as many parts as it fills. Parts in order are dealt to shards by
     the bytes before them, which makes shards equal but for one part each. Slots are counted within parts,
     from the part's first slot. The driver holds the sample and the parts: a number given by `shards`, not by the input.
     Null and empty texts are one group each of size 1; rows equal in id and text get slots of their own. No rows: no
@@ -71,11 +72,15 @@ def assign(docs: DataFrame, shards: int = 16, carry: list[str] | None = None) ->
     parts = np.ones(2 * len(bounds) + 1, np.int64)
     parts[filled["range"]] = np.ceil(fill).astype(np.int64).clip(1)
     n_parts = F.get(F.lit([int(x) for x in parts]).cast("array<int>"), F.col("range"))
-    placed = keyed.withColumn("range", range_of(F.col("key"), bounds)).withColumn("part", F.pmod("tie", n_parts).cast("int"))
+    # Odd ranges are single keys.
+    finer = F.when(F.col("range") % 2 == 1, F.col("tie")).otherwise(F.xxhash64(F.lit("part"), "key"))
 
+    def in_parts(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("range", range_of(F.col("key"), bounds)).withColumn("part", F.pmod(finer, n_parts).cast("int"))
+
+    placed = in_parts(keyed)
     sums = (
-        narrow.withColumn("range", range_of(F.col("key"), bounds)).withColumn("part", F.pmod("tie", n_parts).cast("int"))
-        .groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+        in_parts(narrow).groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         .toPandas().sort_values(["range", "part"])
     )
     middle = sums["bytes"].cumsum() - sums["bytes"] / 2
