@@ -27,6 +27,11 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def beside(carry: list[str], own: str) -> list[Column]:
+    """The fields of a struct `_kept` of carried columns; one named like one of an operator's own gets `_given` added."""
+    return [F.col(f"_kept.`{name}`").alias(f"{name}_given" if name in own.split() else name) for name in carry]
+
+
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

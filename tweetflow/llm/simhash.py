@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tweetflow.llm.common import cut, row_digest
+from tweetflow.llm.common import beside, cut, row_digest
 from tweetflow.llm.components import connected
 
 SEED = 42
@@ -40,7 +40,7 @@ def simhash(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, carry: list[str], shingle: int = 3) -> DataFrame:
-    """The carried columns and fp, the fingerprint as a long. Null or wordless text: zero."""
+    """(_kept: a struct of the carried columns, doc_id, fp: the fingerprint as a long). Null or wordless text: zero."""
 
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame, carry: list[str], shingle: int = 3) -> DataFra
 
     # Bytes, whose lower() and split() know ASCII only.
     udf = F.pandas_udf(of, "long")
-    return docs.select(*carry, udf(F.col("text").cast("binary")).alias("fp"))
+    return docs.select(F.struct(*carry).alias("_kept"), "doc_id", udf(F.col("text").cast("binary")).alias("fp"))
 
 
 class Trie:
@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, carry: list[str], shingle: int = 3, budget:
     Documents link if their fingerprints differ in at most `budget` bits; component_id is the least doc_id that links
     reach, component the fingerprint that stands for them. Links are looked for between distinct fingerprints, so copies cost nothing. Null or wordless text has
     the fingerprint zero and links like any other; a null doc_id never names a component unless it has no other. No
-    rows: no rows.
+    rows: no rows. A carried column named like one of the result's own comes back as <name>_given.
     """
     printed = cut(fingerprints(docs, carry, shingle))
     classes = cut(printed.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
@@ -179,7 +179,7 @@ def near_duplicates(docs: DataFrame, carry: list[str], shingle: int = 3, budget:
     rooted = classes.join(root.select(F.col("u").alias("fp"), "v"), "fp", "left").withColumn("v", F.coalesce("v", "fp"))
     least = rooted.groupBy("v").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(least, "v").select("fp", F.col("v").alias("component"), "component_id")
-    return printed.join(named, "fp").select(*carry, "fp", "component", "component_id")
+    return printed.join(named, "fp").select(*beside(carry, "fp component component_id"), "fp", "component", "component_id")
 
 
 def one_per_group(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:

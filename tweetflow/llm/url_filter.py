@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tweetflow.llm.common import cut
+from tweetflow.llm.common import beside, cut
 
 #: More listed keys are refused: the filters, a few bytes a key, are sent to every task.
 MOST_LISTED = 1_000_000
@@ -121,7 +121,8 @@ def judge(pages: DataFrame, rules: dict[str, str], carry: list[str]) -> DataFram
     rules: "host/path prefix" to "block" or "allow". A rule fits its host and the host's subdomains where the path
     starts with the rule's; the longest fitting rule decides, and a page that no rule fits is allowed: it is not
     listed. Each verdict has a cascade over all keys the pages could ask for, so membership is exact and pages are
-    neither joined nor shuffled; only keys that level 0 lets pass are. Null urls and urls without :// have empty host
+    neither joined nor shuffled; only keys that level 0 lets pass are. A carried column named like one of the result's own
+    comes back as <name>_given. Null urls and urls without :// have empty host
     and path, which no rule fits. Repeated pages are judged alike. No rules or no pages: nothing is blocked.
     """
     if len(rules) > MOST_LISTED:
@@ -146,7 +147,7 @@ def judge(pages: DataFrame, rules: dict[str, str], carry: list[str]) -> DataFram
         pages.select(F.struct(*carry).alias("_kept"), host.alias("host"), path.alias("path"))
         .withColumn("_found", longest(candidate_keys(F.col("host"), F.col("path"), list(rules))) if rules else empty)
         .select(
-            "_kept.*", "host", "path", F.col("_found.rule").alias("rule"),
+            *beside(carry, "host path rule verdict"), "host", "path", F.col("_found.rule").alias("rule"),
             F.coalesce("_found.verdict", F.lit("allow")).alias("verdict"),
         )
     )
