@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -12,8 +13,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tweetflow.llm.common import beside
+
 # Texts encoded at once: their ids are held in memory.
 BLOCK_CHARS = 1 << 21
+# Digests a task remembers to pass over copies; a copy that comes later is encoded again.
+REMEMBERED = 1 << 16
 CACHE = "content string, tokenizer string, n_tokens long"
 
 
@@ -38,18 +43,28 @@ def _counter(path: str):
 
 
 def _encode(path: str):
+    """Counts of the texts, of copies in one task the first only."""
+
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(path)
+        count, seen = _counter(path), OrderedDict()
         for batch in rows:
-            counts, block, chars = [], [], 0
-            for text in batch.column("content_text"):
-                block.append(text.as_py())
+            counts, block, chars, new = [], [], 0, []
+            for at, content in enumerate(batch.column("content").to_pylist()):
+                known = content in seen
+                seen[content] = None
+                seen.move_to_end(content)
+                if known:
+                    continue
+                if len(seen) > REMEMBERED:
+                    seen.popitem(last=False)
+                new.append(at)
+                block.append(batch.column("content_text")[at].as_py())
                 chars += len(block[-1])
                 if chars > BLOCK_CHARS:
                     counts, block, chars = counts + count(block), [], 0
             counts += count(block) if block else []
             yield pa.RecordBatch.from_arrays(
-                [batch.column("content"), pa.array(counts, pa.int64())], names=["content", "n_tokens"]
+                [batch.column("content").take(pa.array(new, pa.int64())), pa.array(counts, pa.int64())], names=["content", "n_tokens"]
             )
 
     return batches
@@ -72,10 +87,11 @@ def count_tokens(docs: DataFrame, model: str, cache: str, carry: list[str], limi
     model: a file of the sentencepiece (.model) or tokenizers (.json) library, at the same path on every machine.
     cache: a folder all machines share. Counts are stored under (digest of the content, digest of the model's
     file). Content is the UTF-8 text as it is, null as the empty text; any further normalising would change counts.
-    Of texts the cache does not have the rows of one id are encoded, however many ids hold them: it is chosen from ids and
-    digests alone. The join that finds its texts shuffles all of them. New counts are appended before they are
+    Of texts the cache does not have the rows of one id are chosen, however many ids hold them, from ids and digests alone;
+    rows of that id with the same text meet in one task, which encodes the first. The join that finds the texts shuffles all of them. New counts are appended before they are
     read. Copies meet only as narrow rows, which adaptive execution may split. Repeated rows get the same counts. No
-    rows: no rows, and nothing is appended.
+    rows: no rows, and nothing is appended. A carried column named like one of the result's own comes back as
+    <name>_given.
     """
     spark, version = docs.sparkSession, tokenizer_version(model)
     whole = F.coalesce(F.col("text"), F.lit(""))
@@ -90,5 +106,5 @@ def count_tokens(docs: DataFrame, model: str, cache: str, carry: list[str], limi
 
     rows = docs.select(F.struct(*carry).alias("_kept"), content.alias("content"), F.octet_length(whole).cast("long").alias("_bytes"))
     return rows.join(_stored(spark, cache, version), "content").select(
-        "_kept.*", F.col("_bytes").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
+        *beside(carry, "n_bytes n_tokens over_limit"), F.col("_bytes").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
