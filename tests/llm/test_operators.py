@@ -124,6 +124,8 @@ def test_simhash_cases(docs, clashing):
     # Null, empty and blank texts are one group; "!?" is a word.
     assert by_id[2]["component_id"] == by_id[3]["component_id"] == by_id[5]["component_id"] == 2
     assert by_id[1]["component_id"] == 1 and by_id[None]["component_id"] is None
+    own = simhash.near_duplicates(clashing((3, "one two")), ["doc_id", "fp", "mask", "component_id"]).first()
+    assert (own["fp_given"], own["mask"], own["component_id_given"], own["component_id"]) == ("mine", "mine", "mine", 3)
     kept = simhash.one_per_group(clashing(*CASES))
     assert set(CLASHES) < set(kept.columns) and table(kept, "doc_id") == [(1,), (2,), (4,), (6,), (None,)]
 
@@ -161,6 +163,13 @@ def test_url_rules(spark):
         assert found[i] == (host, path, rule, queries.RULES[rule] if rule else "allow"), url
 
 
+def test_carried_columns_of_the_results_names(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", "mine", "mine")], "page_id int, url string, host string, rule string")
+    found = url_filter.judge(pages, queries.RULES, ["page_id", "host", "rule"])
+    assert found.columns == ["page_id", "host_given", "rule_given", "host", "path", "rule", "verdict"]
+    assert tuple(found.first()) == (1, "mine", "mine", "a.net", "/x", "net/", "block")
+
+
 def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id int, url string")
     assert table(url_filter.judge(pages, {}, ["page_id"]), "rule", "verdict") == [(None, "allow")]
@@ -211,6 +220,15 @@ def test_token_counts_and_their_cache(spark, docs, tmp_path, monkeypatch, name):
     assert spark.read.parquet(cache).count() == stored + 1
 
 
+def test_copies_are_encoded_once(spark, docs, tmp_path):
+    """Copies without an id, of one id and of several."""
+    model, cache = public_tokenizers.path("piece_bpe_32k.model"), str(tmp_path / "cache")
+    copies = docs(*[(None if i % 6 == 5 else i % 6, "one text in many rows") for i in range(300)], (7, "another")).repartition(5)
+    found = token_counts.count_tokens(copies.withColumn("n_tokens", F.lit(-1)), model, cache, ["doc_id", "n_tokens"])
+    assert found.count() == 301 and table(found.select("n_tokens_given").distinct()) == [(-1,)]
+    assert spark.read.parquet(cache).count() == 2
+
+
 def test_token_counts_of_no_rows(docs, clashing, tmp_path):
     model = public_tokenizers.path("piece_bpe_32k.model")
     assert token_counts.count_tokens(docs(), model, str(tmp_path / "a"), ["doc_id"]).count() == 0
@@ -329,6 +347,11 @@ def test_spot_order_cases(docs, clashing):
     assert found[None]["edited_sha256"] == brute.sha256("No i!") or found[None]["edited_sha256"] == brute.sha256(brute.edited("No id", "!?"))
 
 
+def test_order_of_text_ids(docs):
+    found = spotsigs.compare_next(docs((1, "a"), (2, "b"), (3, "c")).withColumn("doc_id", F.concat(F.lit("d"), "doc_id")))
+    assert table(found, "doc_id", "next_id") == [("d1", "d3"), ("d2", "d1"), ("d3", "d2")]
+
+
 def test_order_over_many_ranges(spark, docs):
     rows = [(i * 7919 % 1009, f"text number {i}") for i in range(1009)]
     found = spotsigs.compare_next(docs(*rows).repartition(5)).select("doc_id", "next_id").collect()
@@ -432,6 +455,18 @@ def test_shards_of_the_table(spark, documents):
     assert found.assign(text=found["doc_id"].map(documents)).groupby("text")["shard"].nunique().max() == 1
 
 
+def test_copies_of_a_larger_table_stay_together(spark):
+    """Ranges just over their share are subdivided by text; only a text that fills a part by itself is spread."""
+    sf_dir = "/root/testdata/sf0.1"
+    found = queries.op9_shards(spark, sf_dir)
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.sha2("text", 256).alias("digest"))
+    groups = found.join(texts, "doc_id").groupBy("digest").agg(F.sum("size").alias("bytes"), F.count_distinct("shard").alias("shards")).toPandas()
+    split = groups[groups["shards"] > 1]
+    assert len(groups) > 9000 and (split["bytes"] > groups["bytes"].sum() / 2048).all()
+    sizes = checked_shards(found.toPandas())
+    assert sizes.max() < 1.05 * sizes.mean()
+
+
 def test_a_group_of_copies_is_spread(docs):
     rows = [(i, "the same text" if i % 3 == 0 else f"text {i} " * 3) for i in range(6000)]
     found = sharding.assign(docs(*rows)).toPandas()
