@@ -1,0 +1,120 @@
+"""Paced replay: order, passes, restarts, a micro-batch that runs again."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tweetflow import sinks
+from tweetflow.session import shared_dir
+from tweetflow.streaming import replay
+
+AT_ONCE = {"processingTime": "0 seconds"}
+
+
+@pytest.fixture
+def folder(spark):
+    """Files of one line each, whose names follow the lines."""
+    path = shared_dir(spark, "replayed")
+
+    def make(*lines):
+        for line in lines:
+            spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{path}/files/{line}")
+        if not lines:
+            sinks.split_lines(spark.createDataFrame([], "value string"), f"{path}/files/none")
+        return path
+
+    return make
+
+
+class Topic:
+    """What was sent, by micro-batch; may fail after so many files."""
+
+    def __init__(self, fail_at=None):
+        self.sent, self.fail_at = {}, fail_at
+
+    def __call__(self, lines, batch_id):
+        self.sent[batch_id] = [row["value"] for row in lines.collect()]
+        if len(self.sent) == self.fail_at:
+            raise RuntimeError("the broker is gone")
+
+    @property
+    def lines(self):
+        return [self.sent[i] for i in sorted(self.sent)]
+
+
+def run(spark, path, topic, passes):
+    query = replay.start_replay(spark, f"{path}/files/*", topic, f"{path}/checkpoint", passes, AT_ONCE)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def test_one_file_per_trigger_in_the_order_of_names(spark, folder):
+    topic, path = Topic(), folder("b", "a", "c")
+    run(spark, path, topic, passes=2)
+    assert topic.lines == [["a"], ["b"], ["c"]] * 2
+
+
+def test_a_restart_goes_on_with_the_next_file(spark, folder):
+    topic, path = Topic(), folder("a", "b", "c")
+    run(spark, path, topic, passes=1)
+    # A file that comes later is not among those of the first start.
+    folder("aa")
+    run(spark, path, topic, passes=1)
+    assert topic.lines == [["a"], ["b"], ["c"]]
+    run(spark, path, topic, passes=3)
+    assert topic.lines == [["a"], ["b"], ["c"]] * 3 and list(topic.sent) == list(range(9))
+
+
+def test_a_file_that_was_not_sent_whole_is_sent_again(spark, folder):
+    path = folder("a", "b", "c")
+    broken = Topic(fail_at=2)
+    with pytest.raises(Exception, match="the broker is gone"):
+        run(spark, path, broken, passes=1)
+    assert broken.lines == [["a"], ["b"]]
+    topic = Topic()
+    run(spark, path, topic, passes=1)
+    assert topic.sent == {1: ["b"], 2: ["c"]}
+
+
+def test_an_endless_replay_is_paced(spark, folder):
+    topic, path = Topic(), folder("a", "b")
+    start = time.time()
+    query = replay.start_replay(spark, f"{path}/files/*", topic, f"{path}/checkpoint")
+    try:
+        while len(topic.sent) < 5 and time.time() < start + 60:
+            time.sleep(0.1)
+    finally:
+        query.stop()
+    # The fifth file is due four seconds after the first one.
+    assert topic.lines[:5] == [["a"], ["b"], ["a"], ["b"], ["a"]] and time.time() - start >= 3
+
+
+def test_no_files_and_a_file_without_lines(spark, folder):
+    topic, path = Topic(), folder()
+    run(spark, path, topic, passes=2)
+    assert [line for lines in topic.lines for line in lines] == []
+
+
+def test_the_topic_holds_a_batch_once(spark):
+    path = shared_dir(spark, "topic")
+    lines = spark.createDataFrame([("one",), ("two",)], "value string")
+    send = replay.topic_sender(path)
+    for batch_id in (0, 1, 1):
+        send(lines, batch_id)
+    assert {r["value"]: r["n"] for r in spark.read.text(f"{path}/*").groupBy("value").agg(F.count("*").alias("n")).collect()} == {"one": 2, "two": 2}
+
+
+def test_turns_between_offsets_are_those_sent():
+    turns = replay._Turns(3, 2)
+    at, sent = turns.initialOffset(), []
+    for _ in range(8):
+        rows, after = turns.read(at)
+        rows = list(rows)
+        assert rows == list(turns.readBetweenOffsets(at, after))
+        sent, at = sent + rows, after
+    assert sent == [(p, f) for p in range(2) for f in range(3)] and at == {"pass": 2, "file": 0}
+    assert list(turns.readBetweenOffsets({"pass": 0, "file": 2}, {"pass": 1, "file": 2})) == [(0, 2), (1, 0), (1, 1)]
+    assert list(replay._Turns(0, 0).read(at)[0]) == []

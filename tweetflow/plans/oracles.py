@@ -175,6 +175,9 @@ def oracle_sql() -> dict[str, str]:
         "reco_valid": _BIDS + "SELECT * FROM reco WHERE cP >= 0",
         "reco_asof": _ASOF,
         "stream_replay_rows": _TWEETS + "SELECT id_str FROM tweets",
+        "stream_replay_twice": f"""
+            SELECT "userID", 2 * count AS count, 2 * fav AS fav, 2 * hashtags AS hashtags, name, 2 * mentioned AS mentioned
+            FROM ({_TOTALS}) AS once""",
         "stream_reconciliation": _TOTALS,
         "upsert_snapshot": _TOTALS,
         "stream_fanout_counts": _TWEETS

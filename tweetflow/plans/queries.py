@@ -14,13 +14,15 @@ from tweetflow.operators import changelog, reconcile, totals, tweets
 from tweetflow.session import shared_dir
 from tweetflow.sinks import export
 from tweetflow.sources import records, tables
-from tweetflow.streaming import feeds, named, running, state, topics
+from tweetflow.streaming import feeds, named, replay, running, state, topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Streams are fed in this many steps; each step is one run of the stream to its end.
 WAVES = 2
 LINES_PER_FILE = 100_000
+# A replay without its pauses.
+AT_ONCE = {"processingTime": "0 seconds"}
 # So many files make a micro-batch at most.
 FILES_PER_TRIGGER = 64
 LOOKED_UP = "7"
@@ -269,6 +271,29 @@ def stream_replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("id_str string").parquet(f"{path}/out")
 
 
+def stream_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation of tweets that a replay sends twice: one pass, and after a restart from its checkpoint another.
+
+    Nothing is deduplicated, so every total doubles; a consumer reads the topic after each pass.
+    """
+    path = shared_dir(spark, "replay-twice")
+    sinks.split_lines(tables.tweet_records(spark, sf_dir), f"{path}/files", LINES_PER_FILE)
+    # The topic is there before the first file is sent.
+    sinks.split_lines(tables.tweet_records(spark, sf_dir).limit(0), f"{path}/topic/start")
+    for passes in (1, 2):
+        sent = replay.start_replay(spark, f"{path}/files", replay.topic_sender(f"{path}/topic"), f"{path}/sent", passes, AT_ONCE)
+        try:
+            sent.processAllAvailable()
+        finally:
+            sent.stop()
+        feeds.start_reconciliation(
+            _topic(spark, f"{path}/topic/*"), [sinks.changelog_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN,
+            _state_partitions(spark),
+        ).awaitTermination()
+    log = sinks.read_changelog(spark, f"{path}/out")
+    return records.parse_user_totals(totals.latest_by_key(log, ["key"], ["batch_id"]))
+
+
 def stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation kept by a stream; its changelog of keyed JSON turned back into the table."""
     path = shared_dir(spark, "reconciliation")
@@ -487,7 +512,7 @@ ALL: list[Query] = [
     ksql_tweets_raw, ksql_tweets_transformed, ksql_mario_fr, userid_count, userid_fav, userid_name_top1,
     userid_name_top3, ctas_overwrite,
     bid_raw, win_raw, bid_proper_key, win_proper_key, tbid_latest_by_key, reco, reco_copartitioned, reco_valid, reco_asof,
-    stream_replay_rows, stream_reconciliation, upsert_snapshot, stream_fanout_counts, stream_reco,
+    stream_replay_rows, stream_replay_twice, stream_reconciliation, upsert_snapshot, stream_fanout_counts, stream_reco,
     stream_transformed, stream_mario, stream_typed, rejected_by_reason,
     stream_ksql_mario_fr, stream_userid_count, stream_userid_fav, stream_userid_name_top1, stream_userid_name_top3,
     stream_state_totals, stream_state_bids, stream_compacted, stream_export, stream_rejected,
