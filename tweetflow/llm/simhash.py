@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tweetflow.llm.common import beside, cut, row_digest
@@ -18,7 +18,7 @@ SEED = 42
 # Words hashed at once, node pairs held at once, and leaf pairs compared at once: they bound memory, not results.
 BLOCK, PAIRS, LEAF = 1 << 16, 1 << 15, 32
 # Subtrees are split until none holds more fingerprints, at least and at most to these depths.
-SUBTREE, LEAST_DEPTH, DEEPEST = 1 << 15, 3, 16
+SUBTREE, LEAST_DEPTH, DEEPEST = 1 << 15, 4, 16
 
 
 def simhash(text: bytes | None, shingle: int) -> int:
@@ -88,11 +88,12 @@ def unite(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             label = further
 
 
-def trie_links(fps: np.ndarray, starts: list[tuple[int, int, int]], depth: int, budget: int) -> np.ndarray:
+def trie_links(fps: np.ndarray, starts: list[tuple[int, int, int]], depth: int, budget: int, agree: int = 0) -> np.ndarray:
     """Labels of the sets that links of at most `budget` bits form among sorted fingerprints.
 
     starts: pairs of nodes at `depth` with the bits their prefixes differ in. Pairs of nodes are taken down together;
-    a pair whose prefixes differ in more bits goes. Pairs of few fingerprints are compared whole.
+    a pair whose prefixes differ in more bits, or in one of the first `agree`, goes. Pairs of few fingerprints are compared
+    whole, and link whatever their first bits.
     """
     trie, label = Trie(fps), np.arange(len(fps))
     todo = [(depth, *(np.array(column, np.int64) for column in zip(*starts)))]
@@ -118,51 +119,67 @@ def trie_links(fps: np.ndarray, starts: list[tuple[int, int, int]], depth: int,
             x, y = np.r_[a0, a1, a0, a1], np.r_[b0, b1, b1, b0]
             bits = np.r_[err, err, err + 1, err + 1]
             # A node with itself has the pair of its two children once.
-            go = (x >= 0) & (y >= 0) & (bits <= budget) & (x <= y)
+            go = (x >= 0) & (y >= 0) & (bits <= (budget if depth >= agree else 0)) & (x <= y)
             if go.any():
                 todo.append((depth + 1, x[go], y[go], bits[go]))
     return label
 
 
-def split_depth(classes: DataFrame) -> int:
-    """The least depth at which no subtree has over SUBTREE fingerprints; counts of 2**DEEPEST prefixes at most."""
-    prefix = F.shiftrightunsigned("fp", 64 - DEEPEST)
-    counts = np.zeros(1 << DEEPEST, np.int64)
-    for row in classes.groupBy(prefix.alias("prefix")).count().collect():
-        counts[row["prefix"]] = row["count"]
-    for depth in range(LEAST_DEPTH, DEEPEST):
-        if counts.reshape(1 << depth, -1).sum(axis=1).max() <= SUBTREE:
-            return depth
-    return DEEPEST
+def blocks_of(budget: int) -> list[int]:
+    """Where the blocks of bits begin of which two fingerprints within the budget have one in common at least."""
+    return [64 * i // (budget + 1) for i in range(budget + 1)]
+
+
+def turned(classes: DataFrame, budget: int) -> DataFrame:
+    """(block, fp): each fingerprint once per block, turned so that the block's bits come first."""
+
+    def by(bits: int) -> Column:
+        return F.shiftleft("fp", bits).bitwiseOR(F.shiftrightunsigned("fp", 64 - bits)) if bits else F.col("fp")
+
+    each = (F.struct(F.lit(i).alias("block"), by(at).alias("fp")) for i, at in enumerate(blocks_of(budget)))
+    return classes.select(F.explode(F.array(*each)).alias("one")).select("one.*")
+
+
+def split_depths(sent: DataFrame, budget: int) -> list[int]:
+    """For each block the least depth at which no subtree has over SUBTREE fingerprints; 2**DEEPEST counts a block at most."""
+    deepest = min(DEEPEST, 64 // (budget + 1))
+    counts = np.zeros((budget + 1, 1 << deepest), np.int64)
+    prefix = F.shiftrightunsigned("fp", 64 - deepest)
+    for row in sent.groupBy("block", prefix.alias("prefix")).count().collect():
+        counts[row["block"], row["prefix"]] = row["count"]
+
+    def least(of: np.ndarray) -> int:
+        fits = (d for d in range(min(LEAST_DEPTH, deepest), deepest) if of.reshape(1 << d, -1).sum(axis=1).max() <= SUBTREE)
+        return next(fits, deepest)
+
+    return [least(of) for of in counts]
 
 
 def fingerprint_links(classes: DataFrame, budget: int = 3) -> DataFrame:
     """Links (u, v) between fingerprints that have the same components as all pairs within `budget` bits.
 
-    The trie is split into subtrees. A task takes the pair of subtrees whose prefixes differ within the budget, and
-    returns one link for each fingerprint at most: to the least of the set that its own pairs form.
+    Two of them agree in one of budget + 1 blocks of bits at least. There is a trie for each block, which has the block's
+    bits first, so each fingerprint is sent budget + 1 times at every size. A trie is split into subtrees by its
+    first bits; pairs agree in these, so a subtree is joined with itself alone. A task returns one link for each fingerprint
+    at most: to the least of the set that its own pairs form.
     """
-    depth = split_depth(classes)
-    masks = [sum(1 << i for i in bits) for n in range(budget + 1) for bits in combinations(range(depth), n)]
-    prefix = F.shiftrightunsigned("fp", 64 - depth)
-    sent = (
-        classes.select("fp", prefix.alias("own"), F.explode(F.lit(masks).cast("array<long>")).alias("mask"))
-        .withColumn("other", F.col("own").bitwiseXOR(F.col("mask")))
-        .select("fp", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-    )
+    begins = blocks_of(budget)
+    ends = [*begins[1:], 64]
+    sent = turned(classes, budget)
+    depths = split_depths(sent, budget)
+    subtree = F.coalesce(*(F.when(F.col("block") == i, F.shiftrightunsigned("fp", 64 - depth)) for i, depth in enumerate(depths)))
 
     def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        block = int(key[0])
         fps = np.sort(rows["fp"].to_numpy().view(np.uint64))
-        nodes = np.unique(fps >> np.uint64(64 - depth))
-        apart = int(key[0]) ^ int(key[1])
-        if apart and len(nodes) < 2:
-            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
-        start = (0, 1, apart.bit_count()) if apart else (0, 0, 0)
-        label = trie_links(fps, [start], depth, budget)
+        label = trie_links(fps, [(0, 0, 0)], depths[block], budget, ends[block] - begins[block] if budget else 0)
         joined = np.flatnonzero(label != np.arange(len(label)))
+        if begins[block]:
+            back = np.uint64(begins[block])
+            fps = (fps >> back) | (fps << (np.uint64(64) - back))
         return pd.DataFrame({"u": fps[joined].view(np.int64), "v": fps[label[joined]].view(np.int64)})
 
-    return sent.groupBy("a", "b").applyInPandas(links, "u long, v long")
+    return sent.withColumn("subtree", subtree).groupBy("block", "subtree").applyInPandas(links, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, carry: list[str], shingle: int = 3, budget: int = 3) -> DataFrame:
