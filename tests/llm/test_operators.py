@@ -97,6 +97,27 @@ def test_trie_in_small_steps(monkeypatch):
     assert simhash.trie_links(array, [(0, 0, 0)], 0, 3).tolist() == whole.tolist()
 
 
+def test_a_fingerprint_is_sent_as_often_at_every_size(spark):
+    for many in (300, 30_000):
+        sent = simhash.turned(spark.range(many).select(F.xxhash64("id").alias("fp")), 3)
+        assert sent.count() == 4 * many
+    depths = simhash.split_depths(sent, 3)
+    assert depths == [simhash.LEAST_DEPTH] * 4
+
+
+@pytest.mark.parametrize("budget", [0, 1, 2, 5])
+def test_links_of_any_budget(spark, budget, monkeypatch):
+    """Subtrees of a few fingerprints, so that pairs meet in different blocks only."""
+    monkeypatch.setattr(simhash, "SUBTREE", 8)
+    draw = random.Random(budget)
+    fps = [draw.getrandbits(63) for _ in range(40)]
+    fps = sorted({f ^ sum({1 << draw.randrange(63) for _ in range(n)}) for f in fps for n in range(7)})
+    frame = spark.createDataFrame([(x,) for x in fps], "fp long")
+    roots = {r["u"]: r["v"] for r in components.connected(simhash.fingerprint_links(frame, budget)).collect()}
+    label = brute.components(fps, lambda a, b: (a ^ b).bit_count() <= budget)
+    assert [roots.get(f, f) for f in fps] == [fps[i] for i in label]
+
+
 def test_links_across_subtrees(spark):
     draw = random.Random(1)
     fps = [draw.getrandbits(63) for _ in range(50)]
