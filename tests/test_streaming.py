@@ -178,6 +178,19 @@ def test_one_read_feeds_all_outputs(spark, records):
     assert plan.split("== Physical Plan ==")[1].count("FileScan") == 1
 
 
+def test_a_topology_keeps_only_what_its_outputs_print(spark, records):
+    """Neither the record as it came nor the text of a tweet that no output prints is kept of a micro-batch."""
+    long = "x" * 10_000
+    media = [{"id_str": "1", "media_url": "u"}]
+    raw = records(tweet(1, text=long, media=media), tweet(2, text="Mario", media=media), tweet(3, lang="en", text="Mario"), "{no json" + long)
+    judged = source.judged_tweets(raw, tweets.MARIO_FIELDS)
+    kept = feeds.only_needed(judged)
+    assert rows(kept, "id", "text", "value") == [(1, None, None), (2, "Mario", None), (3, None, None), (None, None, "{no json" + long)]
+    accepted = [frame.where("reason IS NULL") for frame in (judged, kept)]
+    for output in (tweets.tweet_transformed, tweets.keyword_feed, running.batch_sums):
+        assert rows(output(accepted[1])) == rows(output(accepted[0]))
+
+
 def test_sums_that_arrive_again_count_once(spark, records):
     """A micro-batch written a second time, as after a crash before its commit, in files of other names."""
     path = shared_dir(spark, "again")

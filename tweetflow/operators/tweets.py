@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
 
@@ -41,13 +41,18 @@ def user_mentions(tweets: DataFrame) -> DataFrame:
     return mentions.where("userID IS NOT NULL").select("userID", F.lit(1).cast("bigint").alias("mentioned"))
 
 
+def matches(lang: str = LANG, word: str = WORD) -> Column:
+    """Whether a tweet is of a language and its text contains a word, both compared without regard to case."""
+    return same_ignoring_case(F.col("lang"), lang) & contains_ignoring_case(F.col("text"), word)
+
+
 def keyword_feed(tweets: DataFrame, lang: str = LANG, word: str = WORD) -> DataFrame:
     """Tweets of one language that contain a word, both compared without regard to case.
 
     ``screen_name`` holds the user's display name. Tweets without a readable time or a printed field are
     left out.
     """
-    matching = tweets.where(same_ignoring_case(F.col("lang"), lang) & contains_ignoring_case(F.col("text"), word))
+    matching = tweets.where(matches(lang, word))
     dated = matching.withColumn("ms", millis(F.col("timestamp_ms"))).where(F.col("ms").isNotNull() & feed_is_complete())
     return dated.select(
         "key",

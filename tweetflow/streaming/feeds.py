@@ -6,13 +6,14 @@ application id: started again on the same checkpoint, it goes on where it stoppe
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tweetflow.fixed import COMPACTION, MARIO, TRANSFORMED
 from tweetflow.operators.totals import totals_from_deltas, user_deltas
-from tweetflow.operators.tweets import MARIO_FIELDS, keyed_json, keyword_feed, tweet_transformed
+from tweetflow.operators.tweets import MARIO_FIELDS, keyed_json, keyword_feed, matches, tweet_transformed
 from tweetflow.session import settings, state_settings
 from tweetflow.sinks import BatchWriter, append_stream, batch_stream
 from tweetflow.sources.records import judged_tweets, parse_tweets
@@ -47,6 +48,19 @@ def start_reconciliation(
 SUMMED = "userID string, count long, fav long, hashtags long, mentioned long, ord long, name string, batch_id long"
 
 
+def only_needed(judged: DataFrame) -> DataFrame:
+    """Judged tweets without what no output of a topology prints: the text as it came of accepted records, and the text and
+    media of tweets that the keyword feed passes over. What is kept of a micro-batch for its outputs is narrow then.
+    """
+    printed = F.col("reason").isNull() & matches()
+    return judged.select(
+        "key", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "id", "id_str", "timestamp_ms",
+        F.when(printed, F.col("text")).alias("text"), "lang", "favorite_count",
+        F.col("user").dropFields("id", "screen_name").alias("user"),
+        F.col("entities").withField("media", F.when(printed, F.col("entities.media"))).alias("entities"), "reason",
+    )
+
+
 def start_topology(records: DataFrame, path: str, checkpoint: str, trigger: dict = COMPACTION) -> StreamingQuery:
     """One read and one parse of a topic for all it feeds, each below ``path`` in a folder of the micro-batch.
 
@@ -55,7 +69,8 @@ def start_topology(records: DataFrame, path: str, checkpoint: str, trigger: dict
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # A micro-batch may be larger than what executors can spare.
+        batch.persist(StorageLevel.DISK_ONLY)
         try:
             accepted = batch.where("reason IS NULL")
             outputs = {
@@ -69,7 +84,7 @@ def start_topology(records: DataFrame, path: str, checkpoint: str, trigger: dict
         finally:
             batch.unpersist()
 
-    judged = judged_tweets(records, MARIO_FIELDS)
+    judged = only_needed(judged_tweets(records, MARIO_FIELDS))
     return judged.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
