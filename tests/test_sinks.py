@@ -11,6 +11,7 @@ from tweetflow import schemas, sinks
 from tweetflow.operators import tweets
 from tweetflow.session import shared_dir
 from tweetflow.sinks import export
+from tweetflow.streaming import replay
 
 
 def users(spark, n=1000, partitions=3):
@@ -172,6 +173,19 @@ def test_avro_and_kafka_need_their_packages(spark):
         sinks.kafka_writer("localhost:9092", "tweets-reconciliation")(typed, 0)
 
 
+def test_lines_of_a_topic_are_packed(spark):
+    path = shared_dir(spark, "packed")
+    lines = spark.range(2_000).selectExpr("repeat(concat('line ', id, ' '), 20) AS value")
+    sinks.split_lines(lines.coalesce(1), f"{path}/split", 500, compression=sinks.PACKED)
+    replay.topic_sender(f"{path}/sent", sinks.PACKED)(lines, 0)
+    for folder, least in ((f"{path}/split", 4), (f"{path}/sent/*", 1)):
+        read = spark.read.text(folder)
+        sizes = read.select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+        assert len(sizes) >= least and all(r["file_path"].endswith(".gz") for r in sizes)
+        assert sum(r["file_size"] for r in sizes) * 5 < lines.selectExpr("sum(length(value))").first()[0]
+        assert rows(read) == rows(lines)
+
+
 def test_every_core_writes_the_index(spark):
     """The number of buckets bounds no writers: each task writes the buckets it has keys of."""
     path = shared_dir(spark, "writers")

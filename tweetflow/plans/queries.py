@@ -257,7 +257,7 @@ def _topic(spark: SparkSession, path: str) -> DataFrame:
 
 def _tweet_waves(spark: SparkSession, sf_dir: str, path: str, lines: int = LINES_PER_FILE) -> Iterator[None]:
     for low, high in _waves(tables.table(spark, sf_dir, "events").select("event_id")):
-        sinks.split_lines(tables.tweet_records(spark, sf_dir, _between("event_id", low, high)), path, lines)
+        sinks.split_lines(tables.tweet_records(spark, sf_dir, _between("event_id", low, high)), path, lines, compression=sinks.PACKED)
         yield
 
 
@@ -277,11 +277,12 @@ def stream_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     Nothing is deduplicated, so every total doubles; a consumer reads the topic after each pass.
     """
     path = shared_dir(spark, "replay-twice")
-    sinks.split_lines(tables.tweet_records(spark, sf_dir), f"{path}/files", LINES_PER_FILE)
+    sinks.split_lines(tables.tweet_records(spark, sf_dir), f"{path}/files", LINES_PER_FILE, compression=sinks.PACKED)
     # The topic is there before the first file is sent.
     sinks.split_lines(tables.tweet_records(spark, sf_dir).limit(0), f"{path}/topic/start")
+    send = replay.topic_sender(f"{path}/topic", sinks.PACKED)
     for passes in (1, 2):
-        sent = replay.start_replay(spark, f"{path}/files", replay.topic_sender(f"{path}/topic"), f"{path}/sent", passes, AT_ONCE)
+        sent = replay.start_replay(spark, f"{path}/files", send, f"{path}/sent", passes, AT_ONCE)
         try:
             sent.processAllAvailable()
         finally:
@@ -324,7 +325,7 @@ def _fanned_out(spark: SparkSession, sf_dir: str, spoilt: bool = False) -> str:
     path = shared_dir(spark, "fanout")
     for low, high in _waves(tables.table(spark, sf_dir, "events").select("event_id")):
         raw = tables.tweet_records(spark, sf_dir, _between("event_id", low, high))
-        sinks.split_lines(_spoilt(raw) if spoilt else raw, f"{path}/in", LINES_PER_FILE)
+        sinks.split_lines(_spoilt(raw) if spoilt else raw, f"{path}/in", LINES_PER_FILE, compression=sinks.PACKED)
         feeds.start_topology(_topic(spark, f"{path}/in"), path, f"{path}/checkpoint", topics.DRAIN).awaitTermination()
         writers = [sinks.index_writer(f"{path}/index"), sinks.typed_writer(f"{path}/typed")]
         feeds.start_totals(
@@ -391,7 +392,7 @@ def _live_reco(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     for low, high in _waves(tables.table(spark, sf_dir, "orders").select(epoch_ms("o_orderdate").alias("ms"))):
         for name, make, column in (("bids", tables.bid_records, "l_shipdate"), ("wins", tables.win_records, "o_orderdate")):
             wave = make(spark, sf_dir, _between(column, instant(low), instant(high)))
-            sinks.split_lines(wave, f"{path}/{name}", LINES_PER_FILE)
+            sinks.split_lines(wave, f"{path}/{name}", LINES_PER_FILE, compression=sinks.PACKED)
         statements = named.Statements(spark, path, _state_partitions(spark))
         # A wave is one micro-batch: cut at files, bids and wins of one time would arrive at different ones.
         bids = records.parse_bids(topics.file_topic(statements.session, f"{path}/bids"), sequenced=True)

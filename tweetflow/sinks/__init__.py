@@ -24,6 +24,8 @@ from tweetflow.operators.tweets import keyed_json, user_records
 KEYS_PER_BUCKET, LEAST_BUCKETS, WHOLE_EVERY = 10_000_000, 16, 16
 # Rows of a bucket of co-partitioned tables.
 ROWS_PER_BUCKET = 2_000_000
+# How lines of a topic are packed; readers go by the file's ending.
+PACKED = "gzip"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -74,9 +76,13 @@ def write_files(
     )
 
 
-def split_lines(records: DataFrame, path: str, lines_per_file: int = ROWS_PER_FILE, mode: str = "append") -> None:
-    """Write record values as text files of at most ``lines_per_file`` lines, the input of a replay."""
-    records.select("value").write.mode(mode).option("maxRecordsPerFile", lines_per_file).text(path)
+def split_lines(records: DataFrame, path: str, lines_per_file: int = ROWS_PER_FILE, mode: str = "append", compression: str = "none") -> None:
+    """Write record values as text files of at most ``lines_per_file`` lines, the input of a replay.
+
+    ``compression=PACKED`` makes files of a fraction of their lines' bytes, each of which one task reads.
+    """
+    lines = records.select("value").write.mode(mode).option("maxRecordsPerFile", lines_per_file)
+    lines.option("compression", compression).text(path)
 
 
 def _bucket(key: str | Column, buckets: int) -> Column:

@@ -88,10 +88,10 @@ def start_replay(
     return turns.writeStream.foreachBatch(due).option("checkpointLocation", f"{checkpoint}/turns").trigger(**trigger).start()
 
 
-def topic_sender(path: str) -> Send:
+def topic_sender(path: str, compression: str = "none") -> Send:
     """Adds lines to a topic folder, in a folder per micro-batch that a second run replaces; read it as ``path/*``."""
 
     def send(lines: DataFrame, batch_id: int) -> None:
-        lines.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+        lines.write.mode("overwrite").option("compression", compression).text(f"{path}/batch_id={batch_id}")
 
     return send
