@@ -46,6 +46,12 @@ def test_queries_on_queries_go_on_after_a_restart(to, spark):
     assert now.rows("n_log").count() == 4
 
 
+def test_rows_of_a_named_stream_are_packed(to):
+    to.create_stream_as("n_packed", arrive(to, ("a", "1"), ("b", "2")), topics.DRAIN).awaitTermination()
+    held = to.rows("n_packed")
+    assert rows(held) == [("a", "1"), ("b", "2")] and all(file.endswith(".zstd.parquet") for file in held.inputFiles())
+
+
 def test_a_dropped_name_may_be_taken_by_another_query(to):
     read = arrive(to, ("a", "1"), ("b", "2"))
     query = to.create_stream_as("n_taken", read, {"processingTime": "1 second"})

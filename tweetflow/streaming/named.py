@@ -44,7 +44,7 @@ class Statements:
         place = self._place(name)
         return (
             rows.writeStream.queryName(name).outputMode("append").format("parquet").option("path", f"{place}/rows")
-            .option("checkpointLocation", f"{place}/checkpoint").trigger(**trigger).toTable(name)
+            .option("compression", "zstd").option("checkpointLocation", f"{place}/checkpoint").trigger(**trigger).toTable(name)
         )
 
     def create_table_as(self, name: str, rows: DataFrame, trigger: dict = SQL_COMPACTION) -> StreamingQuery:
