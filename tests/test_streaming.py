@@ -270,6 +270,27 @@ def test_live_reco_of_a_busy_auction_equals_the_batch_form(spark):
     assert got == rows(reconcile.reco_asof(source.parse_wins(lines[0]), source.parse_bids(lines[1], sequenced=True)))
 
 
+def test_auctions_share_calls_and_state(spark, monkeypatch):
+    """Many auctions, few states; null is told from no number, in answers, prices and state, also after a restart."""
+    monkeypatch.setattr(running, "SLOTS", 3)
+    path = shared_dir(spark, "slots")
+    ids = [f"a{i}" for i in range(50)]
+    given = {id: [0.5, None, "NaN"][i % 3] for i, id in enumerate(ids)}
+    publish(spark, f"{path}/bids", *[bid(id, 10, given[id]) for id in ids], bid("other", 1, 0.1))
+    publish(spark, f"{path}/wins", *[win(id, 11, 1.0) for id in ids], win("a0", 9, "NaN"), win("a0", 12, None))
+    first, known = live(spark, path)
+    as_read = {id: float("nan") if cP == "NaN" else cP for id, cP in given.items()}
+    answers = [(id, 1.0, as_read[id]) for id in ids] + [("a0", float("nan"), None), ("a0", None, 0.5)]
+    assert repr(first) == repr(sorted(answers, key=repr))
+    assert repr(known) == repr(sorted([*as_read.items(), ("other", 0.1)], key=repr))
+    publish(spark, f"{path}/bids", bid("new", 20, 0.7))
+    publish(spark, f"{path}/wins", *[win(id, 5, 2.0) for id in ids])
+    second, _ = live(spark, path)
+    assert repr(second) == repr(sorted(answers + [(id, 2.0, as_read[id]) for id in ids], key=repr))
+    checkpoint = named.Statements(spark, path).checkpoint(f"reco_{path.rsplit('-', 1)[1]}")
+    assert state.state_of(spark, checkpoint, variable="last").count() <= 3
+
+
 def test_stream_joined_with_a_finished_table(spark):
     path = shared_dir(spark, "static")
     publish(spark, f"{path}/in", win("a", 5, 1.0), win("z", 5, 2.0))

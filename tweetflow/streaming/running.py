@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -65,34 +65,47 @@ def running_top_k(rows: DataFrame, key: str, value: str, k: int, name: str) -> D
     return few.groupBy("userid").transformWithStateInPandas(_Best(k, kind, ["userid", name]), out, "update", "none")
 
 
-class _LastBid(StatefulProcessor):
-    """Answers the wins of an auction; keeps the probability of its last bid."""
+# Auctions share so many states by a hash of their id: one call, one read and one write of state serve those of a slot.
+SLOTS = 1 << 14
+_EVENT = ["id", *BID_ORDER, "side", "winPrice", "priced", "cP", "given"]
+
+
+class _LastBids(StatefulProcessor):
+    """Answers the wins of a slot's auctions; keeps the probability of each one's last bid."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "cP double")
+        self.last = handle.getValueState("last", "ids array<string>, cPs array<double>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        bids: dict[int, tuple] = {}
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        bids: dict[str, dict[int, tuple]] = {}
         wins: list[tuple] = []
-        for row in rows:
-            if row.side:
-                wins.append((row.timestamp, row.winPrice))
-            else:
-                order = tuple(row[c] for c in BID_ORDER)
-                if row.timestamp not in bids or order >= bids[row.timestamp][0]:
-                    bids[row.timestamp] = order, row.cP
+        for frame in rows:
+            for auction, at, a, b, c, side, price, priced, cP, given in zip(*(frame[name].tolist() for name in _EVENT)):
+                if side:
+                    wins.append((auction, at, price, priced))
+                    continue
+                order, instants = (at, a, b, c), bids.setdefault(auction, {})
+                if at not in instants or order >= instants[at][0]:
+                    instants[at] = order, cP if given else None
         if not bids and not wins:
             return
-        times = sorted(bids)
-        # State is asked only for wins that no bid of the micro-batch answers.
-        asked = any(not times or timestamp < times[0] for timestamp, _ in wins)
-        last = self.last.get() if asked else None
-        known = last[0] if last else None
-        for timestamp, price in wins:
-            at = bisect_right(times, timestamp)
-            yield Row(auctid=key[0], winPrice=price, cP=bids[times[at - 1]][1] if at else known)
-        if times:
-            self.last.update((bids[times[-1]][1],))
+        last = self.last.get()
+        known = dict(zip(*last)) if last else {}
+        if wins:
+            times = {auction: sorted(bids.get(auction, ())) for auction, *_ in wins}
+            answers = []
+            for auction, at, _, _ in wins:
+                earlier = bisect_right(times[auction], at)
+                answers.append(bids[auction][times[auction][earlier - 1]][1] if earlier else known.get(auction))
+            ids, _, prices, priced = zip(*wins)
+            # A frame has one mark for null and for no number; flags beside the values tell them apart.
+            yield pd.DataFrame({
+                "auctid": ids, "winPrice": pd.Series(prices, dtype=float), "priced": pd.Series(priced, dtype=bool),
+                "cP": pd.Series(answers, dtype=float), "given": [answer is not None for answer in answers],
+            })
+        if bids:
+            known.update((auction, instants[max(instants)][1]) for auction, instants in bids.items())
+            self.last.update((list(known), list(known.values())))
 
     def close(self) -> None:
         pass
@@ -102,14 +115,24 @@ def live_reco(wins: DataFrame, bids: DataFrame) -> DataFrame:
     """Every win of a stream with the bid that is current when the win is processed; a later bid changes nothing.
 
     Within a micro-batch bids and wins of an auction take effect by time, bids of an instant before its wins; what a micro-batch
-    brings is later than all before it. State is the last probability of each auction, kept for ever, and a micro-batch
-    touches the auctions it has events of. A task holds of one auction the wins of the micro-batch and one bid per
-    instant at a time; the size of micro-batches is bounded where the topic is read.
+    brings is later than all before it. State is the last probability of each auction, kept for ever, by slots of
+    auctions: a micro-batch reads the slots it has events of and writes those it has bids of. A task holds of one slot the
+    wins of the micro-batch and one bid per auction and instant at a time; the size of micro-batches is bounded where the
+    topic is read.
     """
     events = tagged_events(wins, bids)
     # A missing sequence number is older than all others, and orders are compared as they are, without nulls.
     events = events.withColumns({c: F.coalesce(c, F.lit(-(2**63))) for c in BID_ORDER[1:]})
-    return events.groupBy("id").transformWithState(_LastBid(), "auctid string, winPrice double, cP double", "append", "none")
+    events = events.withColumns({
+        "slot": F.pmod(F.xxhash64("id"), F.lit(SLOTS)), "priced": F.col("winPrice").isNotNull(), "given": F.col("cP").isNotNull(),
+    })
+    out = "auctid string, winPrice double, priced boolean, cP double, given boolean"
+    answered = events.select("slot", *_EVENT).groupBy("slot").transformWithStateInPandas(_LastBids(), out, "append", "none")
+
+    def told(value: str, flag: str) -> Column:
+        return F.when(F.col(flag), F.coalesce(value, F.lit(float("nan")))).alias(value)
+
+    return answered.select("auctid", told("winPrice", "priced"), told("cP", "given"))
 
 
 SUMS = ["count", "fav", "hashtags", "mentioned"]

@@ -33,4 +33,5 @@ def user_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = Non
 
 def last_bids(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """The last bid (id, cP) of each auction as the live reconciliation's state has it."""
-    return state_of(spark, checkpoint, batch_id, "last").select("key.id", "value.cP")
+    slots = state_of(spark, checkpoint, batch_id, "last")
+    return slots.select(F.inline(F.arrays_zip(F.col("value.ids").alias("id"), F.col("value.cPs").alias("cP"))))
