@@ -401,6 +401,25 @@ def test_links_of_copies_and_near_copies(docs):
     assert {r["doc_id"]: r["n_links"] for r in found} == {9: 3, 1: 3, 5: 3, 3: 0, 7: 1, 2: 1, 4: 0}
 
 
+def test_whole_texts_are_shuffled_once(docs):
+    plan = spotsigs.compare_next(docs((1, "a"), (2, "b")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") == 1
+
+
+def test_links_with_signatures_taken_once(docs):
+    base = [f"the w{i} v{i}" for i in range(20)]
+    one, near = " ".join(base), " ".join(base[:-1])
+    # Rows that come twice, other texts of one id, null ids and texts, copies under other ids.
+    frame = docs((1, one), (1, one), (1, near), (2, None), (2, ""), (None, near), (None, "alone here"), (3, one), (4, ""), (5, "no spot, but words enough"))
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_id", "class_id", "n_links"]
+    want = spotsigs.with_links(spotsigs.compare_next(frame), frame)
+    assert table(spotsigs.compare_all(frame), *columns) == table(want, *columns)
+    assert spotsigs.compare_all(frame).count() == 10 and spotsigs.compare_all(docs()).count() == 0
+    links = {(r["doc_id"], r["n_chars"]): r["n_links"] for r in spotsigs.compare_all(frame).collect()}
+    assert links[(1, len(one))] == links[(1, len(near))] == links[(None, len(near))] == links[(3, len(one))] == 4
+    assert links[(2, 0)] == links[(4, 0)] == 2 and links[(None, 10)] == 0
+
+
 def test_similar_sets(spark):
     draw = random.Random(2)
     base = [draw.sample(range(5000), draw.randrange(3, 60)) for _ in range(25)]
