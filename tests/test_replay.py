@@ -5,9 +5,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tweetflow import sinks
+from tweetflow import fixed, sinks
+from tweetflow.plans import queries
 from tweetflow.session import shared_dir
-from tweetflow.streaming import replay
+from tweetflow.streaming import replay, topics
 
 AT_ONCE = {"processingTime": "0 seconds"}
 
@@ -118,3 +119,35 @@ def test_turns_between_offsets_are_those_sent():
     assert sent == [(p, f) for p in range(2) for f in range(3)] and at == {"pass": 2, "file": 0}
     assert list(turns.readBetweenOffsets({"pass": 0, "file": 2}, {"pass": 1, "file": 2})) == [(0, 2), (1, 0), (1, 1)]
     assert list(replay._Turns(0, 0).read(at)[0]) == []
+
+
+def test_each_partition_has_a_stream_that_reads_a_file_per_trigger(spark):
+    path = shared_dir(spark, "partitions")
+    values = spark.range(0, 500, 1, 2).selectExpr("concat('{\"id_str\":\"', id, '\"}') AS value")
+    sinks.split_lines(values, f"{path}/in", 10, compression=sinks.PACKED)
+    started = [queries._start_ids(spark, path, partition) for partition in range(fixed.PARTITIONS)]
+    topics.drain_all(started)
+    # 50 files of 10 lines, of which each partition has some; a trigger takes one.
+    for query in started:
+        read = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        assert read and set(read) == {10}
+    found = [spark.read.schema("id_str string").parquet(f"{path}/out/{partition}").collect() for partition in range(fixed.PARTITIONS)]
+    assert sorted(int(row["id_str"]) for rows in found for row in rows) == list(range(500))
+
+
+def test_a_stream_that_fails_stops_those_beside_it(spark):
+    path = shared_dir(spark, "failing")
+    sinks.split_lines(spark.range(0, 4, 1, 1).selectExpr("CAST(id AS string) AS value"), f"{path}/in", 1)
+
+    def started():
+        endless = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", f"{path}/a").start()
+        left.append(endless)
+        yield endless
+        broken = topics.file_topic(spark, f"{path}/in").selectExpr("raise_error(value) AS value")
+        yield broken.writeStream.format("noop").option("checkpointLocation", f"{path}/b").trigger(**topics.DRAIN).start()
+        raise RuntimeError("no more of them")
+
+    left = []
+    with pytest.raises(RuntimeError, match="no more of them"):
+        topics.drain_all(started())
+    assert not left[0].isActive
