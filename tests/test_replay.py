@@ -151,3 +151,33 @@ def test_a_stream_that_fails_stops_those_beside_it(spark):
     with pytest.raises(RuntimeError, match="no more of them"):
         topics.drain_all(started())
     assert not left[0].isActive
+
+
+def test_producers_share_the_files_and_go_on_after_a_restart(spark, folder):
+    path, sent = folder("a", "b", "c", "d", "e"), [Topic(), Topic(), Topic()]
+
+    def run_all(passes):
+        started = replay.start_replays(spark, f"{path}/files/*", sent.__getitem__, f"{path}/checkpoint", 3, passes, AT_ONCE)
+        try:
+            for query in started:
+                query.processAllAvailable()
+        finally:
+            for query in started:
+                query.stop()
+
+    once = [[["a"], ["d"]], [["b"], ["e"]], [["c"]]]
+    run_all(1)
+    assert [topic.lines for topic in sent] == once
+    folder("aa")
+    run_all(2)
+    assert [topic.lines for topic in sent] == [lines * 2 for lines in once]
+
+
+def test_more_producers_than_files(spark, folder):
+    path, topic = folder("a"), Topic()
+    (query,) = replay.start_replays(spark, f"{path}/files/*", lambda i: topic, f"{path}/checkpoint", 10, 1, AT_ONCE)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert topic.lines == [["a"]]

@@ -287,21 +287,26 @@ def _start_ids(spark: SparkSession, path: str, partition: int) -> StreamingQuery
 def stream_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation of tweets that a replay sends twice: one pass, and after a restart from its checkpoint another.
 
-    Nothing is deduplicated, so every total doubles; a consumer reads the topic after each pass.
+    Nothing is deduplicated, so every total doubles; a consumer reads the topic after each pass. The files are dealt to one
+    producer per partition of the topic, each of which sends one of its files per trigger.
     """
     path = shared_dir(spark, "replay-twice")
     sinks.split_lines(tables.tweet_records(spark, sf_dir), f"{path}/files", LINES_PER_FILE, compression=sinks.PACKED)
     # The topic is there before the first file is sent.
-    sinks.split_lines(tables.tweet_records(spark, sf_dir).limit(0), f"{path}/topic/start")
-    send = replay.topic_sender(f"{path}/topic", sinks.PACKED)
+    sinks.split_lines(tables.tweet_records(spark, sf_dir).limit(0), f"{path}/topic/start/none")
     for passes in (1, 2):
-        sent = replay.start_replay(spark, f"{path}/files", send, f"{path}/sent", passes, AT_ONCE)
+        sent = replay.start_replays(
+            spark, f"{path}/files", lambda partition: replay.topic_sender(f"{path}/topic/{partition}", sinks.PACKED),
+            f"{path}/sent", fixed.PARTITIONS, passes, AT_ONCE,
+        )
         try:
-            sent.processAllAvailable()
+            for producer in sent:
+                producer.processAllAvailable()
         finally:
-            sent.stop()
+            for producer in sent:
+                producer.stop()
         feeds.start_reconciliation(
-            _topic(spark, f"{path}/topic/*"), [sinks.changelog_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN,
+            _topic(spark, f"{path}/topic/*/*"), [sinks.changelog_writer(f"{path}/out")], f"{path}/checkpoint", topics.DRAIN,
             _state_partitions(spark),
         ).awaitTermination()
     log = sinks.read_changelog(spark, f"{path}/out")

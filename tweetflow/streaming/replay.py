@@ -76,7 +76,35 @@ def start_replay(
     the next file; files that came since the first start are not sent. Turns are rows of a source, the lines are read by
     Spark, so files may lie wherever it reads, and one file is read per trigger. A folder without files sends nothing.
     """
+    return _start_turns(spark, _files(spark, path, f"{checkpoint}/files"), send, f"{checkpoint}/turns", passes, trigger)
+
+
+def start_replays(
+    spark: SparkSession, path: str, sender: Callable[[int], Send], checkpoint: str, producers: int, passes: int = 0, trigger: dict = PACED
+) -> list[StreamingQuery]:
+    """The replay of a folder shared by producers, one for each partition of a topic: files are dealt to them by their names.
+
+    Each is a replay of its own, one file per trigger and pass by pass, that sends by what ``sender`` makes of its number. A file
+    is read and written by one task, so a replay alone keeps one core busy, however large the folder. Files of different
+    producers have no order among them, as records of different partitions have none. Starts from the same checkpoint need
+    the same number of producers; those without files are not started.
+    """
     names = _files(spark, path, f"{checkpoint}/files")
+    started = []
+    try:
+        for i in range(min(producers, len(names))):
+            started.append(_start_turns(spark, names[i::producers], sender(i), f"{checkpoint}/turns-{i}-of-{producers}", passes, trigger))
+    except BaseException:
+        for query in started:
+            query.stop()
+        raise
+    return started
+
+
+def _start_turns(
+    spark: SparkSession, names: list[str], send: Send, checkpoint: str, passes: int, trigger: dict
+) -> StreamingQuery:
+    """Send given files in their order, one per trigger."""
     spark.dataSource.register(ReplayTurns)
     turns = spark.readStream.format("replay_turns").option("files", len(names)).option("passes", passes).load()
 
@@ -85,7 +113,7 @@ def start_replay(
         if files:
             send(reduce(DataFrame.unionAll, files), batch_id)
 
-    return turns.writeStream.foreachBatch(due).option("checkpointLocation", f"{checkpoint}/turns").trigger(**trigger).start()
+    return turns.writeStream.foreachBatch(due).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def topic_sender(path: str, compression: str = "none") -> Send:
