@@ -236,3 +236,20 @@ def test_export_files_fill_up_over_micro_batches(spark):
     assert check(200) == names
     write(batch(200, 203), 4)
     check(203)
+
+
+def test_consecutive_export_files_share_a_folder(spark):
+    path = shared_dir(spark, "folders")
+    write = export.rolling_writer(path, rows_per_file=10, partitions=2)
+    rows_of = lambda low, high: spark.range(low, high, numPartitions=3).selectExpr("CAST(id AS string) AS userID", "id AS v")
+    write(rows_of(0, 235), 0)
+    for _ in range(2):
+        write(rows_of(235, 1000), 1)
+    read = export.read_files(spark, path, rows_of(0, 1).schema).select("partition", "first_offset", "_metadata.file_path").distinct().collect()
+    assert len(read) > 90 and len({r["file_path"] for r in read}) == len(read)
+    assert len({r["file_path"].rsplit("/", 1)[0] for r in read}) < len(read) / 5
+    for r in read:
+        folder, name = r["file_path"].rsplit("/", 1)
+        # Folder and number of a file name its first offset.
+        assert f"/partition={r['partition']}/" in folder
+        assert int(folder.rsplit("from_offset=", 1)[1]) + 10 * int(name.split(".c", 1)[1][:3]) == r["first_offset"]
